@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.functions import (
-    cell_ring,
     center_x,
     center_y,
     encode,
     gid_to_name,
     inverse,
+    name_to_gid,
     point_to_name,
     quadrants,
-    ring_to_wkt,
+    square_wkt,
     xy_to_quadrant_text,
 )
 from gridloom.functions.levels import ORIGIN_X, ORIGIN_Y, QUADRANTS, SIDES
@@ -26,7 +26,7 @@ from gridloom.plans.load import open_compact
 from gridloom.plans.rebuild import NAME_COLUMNS
 from gridloom.session import scratch_path
 from gridloom.sources.compact import write_compact
-from gridloom.sources.original import ORIGINAL_SCHEMA, write_original
+from gridloom.sources.original import ORIGINAL_SCHEMA, read_original, write_original
 
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -73,7 +73,6 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def original(spark: SparkSession, sf_dir: str, decimals: int | None = 6) -> DataFrame:
     """The cells in the shape of the original table; geometry as longitude / latitude WKT."""
-    ring = cell_ring.sql("gid", translate=True, decimals=decimals)
     return cells(spark, sf_dir).selectExpr(
         "*", f"{center_x.sql('gid')} AS cx", f"{center_y.sql('gid')} AS cy"
     ).selectExpr(
@@ -82,7 +81,7 @@ def original(spark: SparkSession, sf_dir: str, decimals: int | None = 6) -> Data
         *[f"{point_to_name.sql('cx', 'cy', lv)} AS {c}" for c, lv in NAME_COLUMNS.items()],
         f"{xy_to_quadrant_text.sql('cx', 'cy')} AS quadrante",
         "int(pop - fem) AS masc", "int(fem) AS fem", "int(pop) AS pop", "int(dom_ocu) AS dom_ocu",
-        f"{ring_to_wkt.sql(ring)} AS geom",
+        f"{square_wkt.sql('gid', translate=True, decimals=decimals)} AS geom",
     )
 
 
@@ -131,24 +130,36 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
     return _STORED[key]
 
 
+def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells as a stored table."""
+    path = _once(spark, sf_dir, "cells", lambda p: cells(spark, sf_dir).write.parquet(p))
+    return spark.read.parquet(path)
+
+
 def stored_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The compact grid as loaded and stored: what all queries on it read."""
-    path = _once(spark, sf_dir, "compact", lambda p: write_compact(build_pyramid(original(spark, sf_dir)), p))
+    path = _once(spark, sf_dir, "compact", lambda p: write_compact(build_pyramid(read_stored_original(spark, sf_dir)), p))
     return open_compact(spark, path)
 
 
-def stored_original(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the original grid stored per quadrant."""
+def stored_original(spark: SparkSession, sf_dir: str, decimals: int | None = 6) -> str:
+    """Path of the original grid stored per quadrant, with geometry of the given precision."""
 
     def write(path: str) -> None:
-        ready = original(spark, sf_dir).selectExpr(
+        ready = original(spark, sf_dir, decimals).selectExpr(
             *["int(NULL) AS gid" if c.startswith("gid ") else _original_column(c) for c in ORIGINAL_SCHEMA.split(", ")]
         )
         write_original(ready, path)
 
-    return _once(spark, sf_dir, "original", write)
+    return _once(spark, sf_dir, f"original-{decimals}", write)
 
 
 def _original_column(ddl: str) -> str:
     name, kind = ddl.split()
     return f"double(NULL) AS {name}" if name.startswith("shape_") else f"cast({name} AS {kind}) AS {name}"
+
+
+def read_stored_original(spark: SparkSession, sf_dir: str, decimals: int | None = 6) -> DataFrame:
+    """The original grid as stored, with the key in place of the legacy row id."""
+    scan = read_original(spark, stored_original(spark, sf_dir, decimals))
+    return scan.withColumn("gid", name_to_gid("id_unico"))

@@ -13,7 +13,7 @@ from gridloom.catalogue import inputs as I
 from gridloom.catalogue.oracle import ONE_CELL, ONE_QUADRANT
 from gridloom.functions.levels import SIDES
 from gridloom.operators import compare, containment, dissolve, locate, nearest, pyramid, resolve
-from gridloom.operators.points import locate_uris, with_latlon, with_xy
+from gridloom.operators.points import locate_uris, with_geohash, with_latlon, with_xy
 from gridloom.plans import load, rebuild, reports, verify, views
 from gridloom.session import scratch_path
 from gridloom.sources import compact as compact_io
@@ -72,7 +72,7 @@ def uncertainty(spark, sf_dir):
 
 
 def _names(spark, sf_dir):
-    return I.original(spark, sf_dir).selectExpr("gid AS src", f"{BAD_NAME} AS name")
+    return I.read_stored_original(spark, sf_dir).selectExpr("gid AS src", f"{BAD_NAME} AS name")
 
 
 @query
@@ -89,7 +89,7 @@ def name_center(spark, sf_dir):
 
 @query
 def name_to_gid(spark, sf_dir):
-    o = I.original(spark, sf_dir)
+    o = I.read_stored_original(spark, sf_dir)
     coarse = [G.name_to_gid(c).alias(f"gid_l{lv}") for c, lv in rebuild.NAME_COLUMNS.items()]
     return o.select(F.col("gid").alias("src"), G.name_to_gid(BAD_NAME).alias("gid"), *coarse)
 
@@ -119,7 +119,7 @@ def center_to_ref(spark, sf_dir):
 
 @query
 def name_roundtrip(spark, sf_dir):
-    return verify.name_roundtrip(I.original(spark, sf_dir))
+    return verify.name_roundtrip(I.read_stored_original(spark, sf_dir))
 
 
 @query
@@ -175,12 +175,12 @@ def quadrants(spark, sf_dir):
 
 @query
 def ancestors(spark, sf_dir):
-    return I.cells(spark, sf_dir).select("gid", *[G.gid_to_gid("gid", lv).alias(f"gid_l{lv}") for lv in range(len(SIDES))])
+    return I.stored_cells(spark, sf_dir).select("gid", *[G.gid_to_gid("gid", lv).alias(f"gid_l{lv}") for lv in range(len(SIDES))])
 
 
 @query
 def gid_contains(spark, sf_dir):
-    c = I.cells(spark, sf_dir).select("gid", G.gid_to_gid("gid", 2).alias("l2"), G.quadrant_to_gid(str(ONE_QUADRANT)).alias("root"))
+    c = I.stored_cells(spark, sf_dir).select("gid", G.gid_to_gid("gid", 2).alias("l2"), G.quadrant_to_gid(str(ONE_QUADRANT)).alias("root"))
     return c.select(
         "gid", G.gid_contains("l2", "gid").alias("in_l2"), G.gid_contains("gid", "gid").alias("in_self"),
         G.gid_contains("root", "gid").alias("in_quadrant"),
@@ -189,7 +189,7 @@ def gid_contains(spark, sf_dir):
 
 @query
 def containment_join(spark, sf_dir):
-    cells = I.cells(spark, sf_dir)
+    cells = I.stored_cells(spark, sf_dir)
     areas = cells.select(G.gid_to_gid("gid", 2).alias("big_gid")).distinct()
     return containment.containment_totals(cells, areas, levels=[2])
 
@@ -228,25 +228,25 @@ def geouri_to_cell(spark, sf_dir):
 
 @query
 def geohash(spark, sf_dir):
-    return I.uris(spark, sf_dir).select("event_id", "geo_uri", G.geouri_to_geohash("geo_uri").alias("geohash"))
+    return with_geohash(with_latlon(I.uris(spark, sf_dir))).select("event_id", "geo_uri", "geohash")
 
 
 @query
 def cell_polygon(spark, sf_dir):
-    return I.cells(spark, sf_dir).select("gid", G.square_wkt("gid").alias("wkt"))
+    return I.stored_cells(spark, sf_dir).select("gid", G.square_wkt("gid").alias("wkt"))
 
 
 @query
 def cell_center_point(spark, sf_dir):
-    staged = I.cells(spark, sf_dir).select(
+    staged = I.stored_cells(spark, sf_dir).select(
         "gid", G.cell_center_point("gid").alias("p"), G.cell_center_point("gid", translate=True, decimals=6).alias("l")
     )
     return staged.selectExpr("gid", "p.x AS x", "p.y AS y", "l.x AS lon", "l.y AS lat")
 
 
 def _vertices(spark, sf_dir, **options):
-    ring = G.cell_ring.sql("gid", **options)
-    return I.cells(spark, sf_dir).selectExpr("gid", f"posexplode({ring}) AS (ord, v)")
+    rings = I.stored_cells(spark, sf_dir).select("gid", G.cell_ring("gid", **options).alias("ring"))
+    return rings.selectExpr("gid", "posexplode(ring) AS (ord, v)")
 
 
 @query
@@ -261,30 +261,30 @@ def ring_points(spark, sf_dir):
 
 @query
 def ring_area(spark, sf_dir):
-    return I.cells(spark, sf_dir).select("gid", G.ring_area(G.cell_ring.sql("gid")).alias("area"))
+    return I.stored_cells(spark, sf_dir).select("gid", G.ring_area(G.cell_ring.sql("gid")).alias("area"))
 
 
 @query
 def ring_centroid(spark, sf_dir):
-    staged = I.cells(spark, sf_dir).select("gid", G.ring_centroid(G.cell_ring.sql("gid")).alias("c"))
+    staged = I.stored_cells(spark, sf_dir).select("gid", G.ring_centroid(G.cell_ring.sql("gid")).alias("c"))
     return staged.selectExpr("gid", "c.x AS cx", "c.y AS cy")
 
 
 @query
 def dissolve_cells(spark, sf_dir):
-    return dissolve.dissolve(I.cells(spark, sf_dir), 4).withColumnRenamed("parent", "gid_l4")
+    return dissolve.dissolve(I.stored_cells(spark, sf_dir), 4).withColumnRenamed("parent", "gid_l4")
 
 
 # ------------------------------------------------------------------ compact grid
 
 @query
 def compact_encode(spark, sf_dir):
-    return big(pyramid.encode_cells(I.original(spark, sf_dir)))
+    return big(pyramid.encode_cells(I.read_stored_original(spark, sf_dir)))
 
 
 @query
 def pyramid_build(spark, sf_dir):
-    return big(pyramid.build_pyramid(I.original(spark, sf_dir)))
+    return big(pyramid.build_pyramid(I.read_stored_original(spark, sf_dir)))
 
 
 @query
@@ -294,7 +294,7 @@ def level_counts(spark, sf_dir):
 
 @query
 def level_totals(spark, sf_dir):
-    return big(reports.level_totals(pyramid.build_pyramid(I.original(spark, sf_dir))))
+    return big(reports.level_totals(pyramid.build_pyramid(I.read_stored_original(spark, sf_dir))))
 
 
 @query
@@ -333,7 +333,7 @@ def rebuild_quadrant(spark, sf_dir):
 @query
 def rebuild_vs_original(spark, sf_dir):
     # full-precision geometry: the geohash of both centres must be the same text
-    return verify.compare_rebuilt(rebuild.rebuild(_compact(spark, sf_dir)), I.original(spark, sf_dir, decimals=None))
+    return verify.compare_rebuilt(rebuild.rebuild(_compact(spark, sf_dir)), I.read_stored_original(spark, sf_dir, decimals=12))
 
 
 # ------------------------------------------------------------------ joins of points
@@ -365,18 +365,18 @@ def resolve_name(spark, sf_dir):
 
 @query
 def resolve_geohash(spark, sf_dir):
-    hashes = I.point_uris(spark, sf_dir).select("event_id", G.geouri_to_geohash("geo_uri", digits=6).alias("geohash"))
+    hashes = with_geohash(with_latlon(I.point_uris(spark, sf_dir)), digits=6).select("event_id", "geohash")
     return big(resolve.resolve_geohashes(hashes, _compact(spark, sf_dir)).select("event_id", "geohash", "gid", *_CENSUS))
 
 
 @query
 def locate_points(spark, sf_dir):
-    return locate.locate_points(I.xy_points(spark, sf_dir), I.cells(spark, sf_dir).select("gid")).select("event_id", "gid")
+    return locate.locate_points(I.xy_points(spark, sf_dir), I.stored_cells(spark, sf_dir).select("gid")).select("event_id", "gid")
 
 
 @query
 def locate_bbox(spark, sf_dir):
-    boxes = locate.cell_boxes(I.cells(spark, sf_dir).select("gid"))
+    boxes = locate.cell_boxes(I.stored_cells(spark, sf_dir).select("gid"))
     return locate.locate_in_boxes(I.xy_points(spark, sf_dir), boxes).select("event_id", "gid")
 
 
@@ -400,7 +400,7 @@ def nearest_cell(spark, sf_dir):
 
 @query
 def check_names(spark, sf_dir):
-    checked = verify.check_names(I.original(spark, sf_dir), _compact(spark, sf_dir))
+    checked = verify.check_names(I.read_stored_original(spark, sf_dir), _compact(spark, sf_dir))
     return checked.select("id_unico", *[c for c in checked.columns if c.startswith("is_")])
 
 
@@ -408,23 +408,23 @@ def check_names(spark, sf_dir):
 def check_uri_names(spark, sf_dir):
     lat, lon = G.inverse(G.center_x.sql("gid"), G.center_y.sql("gid"))
     uri = f"concat('geo:', string(cast({lat} AS decimal(10,7))), ',', string(cast({lon} AS decimal(10,7))))"
-    checked = verify.check_uri_names(I.original(spark, sf_dir).selectExpr("*", f"{uri} AS geo_uri"))
+    checked = verify.check_uri_names(I.read_stored_original(spark, sf_dir).selectExpr("*", f"{uri} AS geo_uri"))
     return checked.select("id_unico", *[c for c in checked.columns if c.startswith("is_")])
 
 
 @query
 def check_geometry(spark, sf_dir):
-    return verify.check_geometry(I.original(spark, sf_dir, decimals=12))
+    return verify.check_geometry(I.read_stored_original(spark, sf_dir, decimals=12))
 
 
 @query
 def edge_rate(spark, sf_dir):
-    return verify.edge_rate(I.original(spark, sf_dir))
+    return verify.edge_rate(I.read_stored_original(spark, sf_dir))
 
 
 @query
 def naming_violations(spark, sf_dir):
-    renamed = I.original(spark, sf_dir).withColumn(
+    renamed = I.read_stored_original(spark, sf_dir).withColumn(
         "id_unico", F.expr(r"IF(pop % 50 = 0, regexp_replace(id_unico, r'N\d+', 'N0000'), id_unico)")
     )
     return verify.naming_violations(renamed)
@@ -432,12 +432,12 @@ def naming_violations(spark, sf_dir):
 
 @query
 def name_prefixes(spark, sf_dir):
-    return reports.name_prefixes(I.original(spark, sf_dir))
+    return reports.name_prefixes(I.read_stored_original(spark, sf_dir))
 
 
 @query
 def search_original(spark, sf_dir):
-    found = verify.search_original(I.point_uris(spark, sf_dir), I.original(spark, sf_dir))
+    found = verify.search_original(I.point_uris(spark, sf_dir), I.read_stored_original(spark, sf_dir))
     return found.select("event_id", "gid")
 
 
@@ -499,7 +499,7 @@ def compact_csv_roundtrip(spark, sf_dir):
 @query
 def compact_store(spark, sf_dir):
     path = scratch_path(spark, "compact")
-    load.load_from_original(I.original(spark, sf_dir), path)
+    load.load_from_original(I.read_stored_original(spark, sf_dir), path)
     return big(load.open_compact(spark, path))
 
 
@@ -626,7 +626,7 @@ def file_manifest(spark, sf_dir):
 
 @query
 def prefix_join(spark, sf_dir):
-    o = I.original(spark, sf_dir)
+    o = I.read_stored_original(spark, sf_dir)
     return o.select("gid", G.prefix_join("'t1.'", "array(nome_1km, nome_5km, nome_10km)").alias("joined"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from gridloom.functions._base import grid_function, round_long, struct
+from gridloom.functions._base import bind, grid_function, round_long, struct
 from gridloom.functions.cellid import point_to_gid
 
 # WGS84 ellipsoid and the projection of the grid.
@@ -59,6 +59,19 @@ def forward(lat: str, lon: str) -> tuple[str, str]:
     return f"({FALSE_EAST!r}D + {rho} * sin({theta}))", f"({FALSE_NORTH + _RHO_0!r}D - {rho} * cos({theta}))"
 
 
+def forward_point(lat: str, lon: str) -> str:
+    """struct<x, y> of a projected point for use inside a lambda.
+
+    Lambdas are not compiled and share no subexpressions, so the shared terms are bound by hand.
+    """
+    q = f"({1 - _E2!r}D * (sn_ / (1D - {_E2!r}D * sn_ * sn_) - ln((1D - {_E!r}D * sn_) / (1D + {_E!r}D * sn_)) / {2 * _E!r}D))"
+    polar = struct(
+        r=f"{SEMI_MAJOR / _CONE!r}D * sqrt({_C!r}D - {_CONE!r}D * {q})", t=f"{_CONE!r}D * radians({lon} - {LON_0!r}D)"
+    )
+    xy = struct(x=f"{FALSE_EAST!r}D + po_.r * sin(po_.t)", y=f"{FALSE_NORTH + _RHO_0!r}D - po_.r * cos(po_.t)")
+    return bind(f"sin(radians({lat}))", "sn_", bind(polar, "po_", xy))
+
+
 def inverse(x: str, y: str) -> tuple[str, str]:
     """Expressions of latitude and longitude in degrees of an easting and northing in metres."""
     dx = f"({x} - {FALSE_EAST!r}D)"

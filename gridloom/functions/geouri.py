@@ -49,13 +49,19 @@ def geouri_to_gid(uri, level=5, honor_uncertainty: bool = True, float32: bool =
 
 # ---------------------------------------------------------------- geohash
 
-def _axis(value: str, low: float, span: float, bits: int) -> str:
-    cells = 1 << bits
-    raw = f"bigint(floor(({value} - {low!r}D) / {span!r}D * {float(cells)!r}D))"
-    return f"(CASE WHEN {raw} >= {cells}L THEN {cells - 1}L WHEN {raw} < 0L THEN 0L ELSE {raw} END)"
+def axis_cell(value: str, low: float, span: float, bits: int) -> str:
+    """Position of a coordinate among 2^bits equal parts of its axis; the upper end belongs to the last part."""
+    cells = float(1 << bits)
+    return f"(bigint(floor(({value} - {low!r}D) / {span!r}D * {cells!r}D)) - bigint({value} >= {low + span!r}D))"
 
 
-def _digit_table(three_first: bool) -> str:
+def geohash_axes(lat: str, lon: str, digits: int) -> tuple[str, str]:
+    """Expressions of the longitude and latitude positions that the digits are made of."""
+    total = 5 * digits
+    return axis_cell(lon, -180.0, 360.0, (total + 1) // 2), axis_cell(lat, -90.0, 180.0, total // 2)
+
+
+def _digit_table() -> str:
     """Alphabet by (three bits of one axis) * 4 + (two bits of the other), interleaved as the digit has them."""
     out = []
     for three in range(8):
@@ -65,19 +71,17 @@ def _digit_table(three_first: bool) -> str:
     return "".join(out)
 
 
-_DIGITS = _digit_table(True)
+_DIGITS = _digit_table()
 
 
-@grid_function("lat DOUBLE, lon DOUBLE", "STRING")
-def latlon_to_geohash(lat, lon, digits: int = 9) -> str:
-    """Geohash of a point.
+def axes_to_geohash(lon_axis: str, lat_axis: str, digits: int) -> str:
+    """Geohash text from the two axis positions.
 
     Bits alternate, longitude first; a digit of five bits takes three of one axis
     and two of the other, in turn, so each digit is one table lookup.
     """
     total = 5 * digits
     lon_left, lat_left = (total + 1) // 2, total // 2
-    lon_axis, lat_axis = _axis(lon, -180.0, 360.0, lon_left), _axis(lat, -90.0, 180.0, lat_left)
     out = []
     for d in range(digits):
         if d % 2 == 0:
@@ -91,6 +95,12 @@ def latlon_to_geohash(lat, lon, digits: int = 9) -> str:
     return f"concat({', '.join(out)})"
 
 
+@grid_function("lat DOUBLE, lon DOUBLE", "STRING")
+def latlon_to_geohash(lat, lon, digits: int = 9) -> str:
+    """Geohash of a point."""
+    return axes_to_geohash(*geohash_axes(lat, lon, digits), digits)
+
+
 @grid_function("uri STRING", "STRING")
 def geouri_to_geohash(uri, digits: int = 9) -> str:
     return latlon_to_geohash.sql(geouri_lat.sql(uri), geouri_lon.sql(uri), digits=digits)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gridloom.functions._base import bind, grid_function, struct
-from gridloom.functions.albers import forward, inverse
+from gridloom.functions.albers import forward_point, inverse
 from gridloom.functions.cellid import center_x, center_y, gid_level, name_to_center
 from gridloom.functions.levels import SIDES, per_level
 
@@ -62,6 +62,26 @@ def named_cell_center_point(name, translate: bool = False, decimals: int | None
     return bind(name_to_center.sql(name), "n_", _point("n_.x", "n_.y", translate, decimals))
 
 
+def corner_columns(gid: str, prefix: str = "") -> dict[str, str]:
+    """Expressions of the longitude / latitude corners of a cell as flat columns ``x0, y0 .. x3, y3``."""
+    half = per_level(_HALF, gid_level.sql(gid))
+    x, y = center_x.sql(gid), center_y.sql(gid)
+    out = {}
+    for i, (dx, dy) in enumerate(("--", "-+", "++", "+-")):
+        lat, lon = inverse(f"({x} {dx} {half})", f"({y} {dy} {half})")
+        out[f"{prefix}x{i}"], out[f"{prefix}y{i}"] = lon, lat
+    return out
+
+
+def quad_centroid(prefix: str = "") -> tuple[str, str]:
+    """Expressions of the area-weighted centroid of the quadrilateral in ``corner_columns``."""
+    dx, dy = ([f"({prefix}{a}{i} - {prefix}{a}0)" for i in range(4)] for a in "xy")
+    cross = [f"({dx[i]} * {dy[i + 1]} - {dx[i + 1]} * {dy[i]})" for i in (1, 2)]
+    doubled = f"({' + '.join(cross)})"
+    x, y = (" + ".join(f"({d[i]} + {d[i + 1]}) * {c}" for i, c in zip((1, 2), cross)) for d in (dx, dy))
+    return f"({prefix}x0 + ({x}) / (3D * {doubled}))", f"({prefix}y0 + ({y}) / (3D * {doubled}))"
+
+
 # ---------------------------------------------------------------- text forms
 
 @grid_function(f"ring {RING}", "STRING")
@@ -75,12 +95,18 @@ def ring_to_wkt(ring) -> str:
 
 
 @grid_function("gid BIGINT", "STRING")
-def square_wkt(gid) -> str:
-    """WKT of a projected cell, built without arrays so that it stays in generated code."""
+def square_wkt(gid, translate: bool = False, decimals: int | None = None) -> str:
+    """WKT of a cell, built without arrays so that it stays in generated code."""
     half = per_level(_HALF, gid_level.sql(gid))
-    x0, x1 = (f"string({center_x.sql(gid)} {op} {half})" for op in "-+")
-    y0, y1 = (f"string({center_y.sql(gid)} {op} {half})" for op in "-+")
-    vertices = ", ',', ".join(f"{x}, ' ', {y}" for x, y in ((x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)))
+    low_x, high_x = (f"({center_x.sql(gid)} {op} {half})" for op in "-+")
+    low_y, high_y = (f"({center_y.sql(gid)} {op} {half})" for op in "-+")
+    corners = []
+    for x, y in ((low_x, low_y), (low_x, high_y), (high_x, high_y), (high_x, low_y)):
+        if translate:
+            lat, lon = inverse(x, y)
+            x, y = (lon, lat) if decimals is None else (f"round({lon}, {decimals})", f"round({lat}, {decimals})")
+        corners.append(f"string({x}), ' ', string({y})")
+    vertices = ", ',', ".join([*corners, corners[0]])
     return f"concat('POLYGON((', {vertices}, '))')"
 
 
@@ -98,8 +124,7 @@ def wkt_to_ring(wkt) -> str:
 @grid_function(f"ring {RING}", RING)
 def ring_to_xy(ring) -> str:
     """Project a longitude / latitude ring."""
-    x, y = forward("l_.y", "l_.x")
-    return f"transform({ring}, l_ -> {struct(x=x, y=y)})"
+    return f"transform({ring}, l_ -> {forward_point('l_.y', 'l_.x')})"
 
 
 def _sides(ring: str) -> str:

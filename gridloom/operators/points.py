@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import forward, geouri_lat, geouri_level, geouri_lon, point_to_gid
 from gridloom.functions._base import round_long
+from gridloom.functions.geouri import axes_to_geohash, geohash_axes
 
 
 def with_xy(df: DataFrame, lat: str = "lat", lon: str = "lon", float32: bool = False) -> DataFrame:
@@ -32,6 +33,8 @@ def locate_uris(
     return out.withColumn("gid", point_to_gid("x", "y", "_level")).drop("_level")
 
 
-def cells_of_latlon(df: DataFrame, level: int, lat: str = "lat", lon: str = "lon", float32: bool = False) -> DataFrame:
-    """Add ``x, y, gid`` for columns of latitude and longitude."""
-    return with_xy(df, lat, lon, float32).withColumn("gid", F.expr(point_to_gid.sql("x", "y", level)))
+def with_geohash(df: DataFrame, lat: str = "lat", lon: str = "lon", digits: int = 9, name: str = "geohash") -> DataFrame:
+    """Add the geohash of a latitude and longitude; the axis positions are columns of their own, made once."""
+    lon_axis, lat_axis = geohash_axes(lat, lon, digits)
+    staged = df.selectExpr("*", f"{lon_axis} AS _lon", f"{lat_axis} AS _lat")
+    return staged.withColumn(name, F.expr(axes_to_geohash("_lon", "_lat", digits))).drop("_lon", "_lat")

@@ -10,10 +10,9 @@ from gridloom.functions import (
     gid_to_gid,
     gid_to_name,
     gid_to_quadrant_text,
-    latlon_to_geohash,
     name_to_gid,
 )
-from gridloom.operators.points import locate_uris
+from gridloom.operators.points import locate_uris, with_geohash
 from gridloom.operators.skew import keyed_join
 
 
@@ -32,15 +31,10 @@ def resolve_uris(
     honor_uncertainty: bool = True, geohash_digits: int = 9,
 ) -> DataFrame:
     """GeoURIs with their cell, root cell, quadrant, geohash and census figures."""
-    located = locate_uris(points, uri, level, honor_uncertainty)
+    located = with_geohash(locate_uris(points, uri, level, honor_uncertainty), digits=geohash_digits)
     joined = with_census(located, compact)
     return joined.withColumns(
-        {
-            "gid_l0": gid_to_gid("gid", 0),
-            "name": gid_to_name("gid"),
-            "quadrant": gid_to_quadrant_text("gid"),
-            "geohash": latlon_to_geohash("lat", "lon", digits=geohash_digits),
-        }
+        {"gid_l0": gid_to_gid("gid", 0), "name": gid_to_name("gid"), "quadrant": gid_to_quadrant_text("gid")}
     ).withColumn("name_l0", gid_to_name("gid_l0"))
 
 
