@@ -73,7 +73,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def original(spark: SparkSession, sf_dir: str, decimals: int | None = 6) -> DataFrame:
     """The cells in the shape of the original table; geometry as longitude / latitude WKT."""
-    return cells(spark, sf_dir).selectExpr(
+    return stored_cells(spark, sf_dir).selectExpr(
         "*", f"{center_x.sql('gid')} AS cx", f"{center_y.sql('gid')} AS cy"
     ).selectExpr(
         "gid",
@@ -115,7 +115,7 @@ def point_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, geo_uri`` of the projected points, most of them in populated cells."""
     lat, lon = inverse("x", "y")
     text = "string(cast(round({}, 6) AS decimal(9,6)))"
-    return xy_points(spark, sf_dir).selectExpr(
+    return stored_points(spark, sf_dir).selectExpr(
         "event_id", f"concat('geo:', {text.format(lat)}, ',', {text.format(lon)}) AS geo_uri"
     )
 
@@ -131,8 +131,17 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
 
 
 def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cells as a stored table."""
-    path = _once(spark, sf_dir, "cells", lambda p: cells(spark, sf_dir).write.parquet(p))
+    """The cells as a stored table, ranged by key."""
+    path = _once(
+        spark, sf_dir, "cells",
+        lambda p: cells(spark, sf_dir).repartitionByRange("gid").sortWithinPartitions("gid").write.parquet(p),
+    )
+    return spark.read.parquet(path)
+
+
+def stored_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, x, y`` as a stored table."""
+    path = _once(spark, sf_dir, "points", lambda p: xy_points(spark, sf_dir).repartition("event_id").write.parquet(p))
     return spark.read.parquet(path)
 
 

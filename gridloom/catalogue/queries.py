@@ -371,18 +371,18 @@ def resolve_geohash(spark, sf_dir):
 
 @query
 def locate_points(spark, sf_dir):
-    return locate.locate_points(I.xy_points(spark, sf_dir), I.stored_cells(spark, sf_dir).select("gid")).select("event_id", "gid")
+    return locate.locate_points(I.stored_points(spark, sf_dir), I.stored_cells(spark, sf_dir).select("gid")).select("event_id", "gid")
 
 
 @query
 def locate_bbox(spark, sf_dir):
     boxes = locate.cell_boxes(I.stored_cells(spark, sf_dir).select("gid"))
-    return locate.locate_in_boxes(I.xy_points(spark, sf_dir), boxes).select("event_id", "gid")
+    return locate.locate_in_boxes(I.stored_points(spark, sf_dir), boxes).select("event_id", "gid")
 
 
 def _near(spark, sf_dir, find):
     compact = _compact(spark, sf_dir).filter(G.gid_level("gid") >= 5)
-    points = I.xy_points(spark, sf_dir).selectExpr("*", "explode(array(5, 6)) AS level")
+    points = I.stored_points(spark, sf_dir).selectExpr("*", "explode(array(5, 6)) AS level")
     return find(points, nearest.axis_values(compact, "x"), nearest.axis_values(compact, "y"))
 
 
