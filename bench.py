@@ -18,7 +18,7 @@ from gridloom.catalogue import inputs as I  # noqa: E402
 from gridloom.catalogue.queries import QUERIES  # noqa: E402
 from gridloom.session import build_session  # noqa: E402
 
-HEADLINE = [
+HEADLINE = os.environ.get("BENCH_QUERIES", "").split() or [
     "pyramid", "level_totals", "compact_encode", "name_to_gid", "gid_to_name", "point_to_cell", "latlon_to_cell",
     "geouri_to_cell", "geohash", "resolve_point", "locate_points", "locate_bbox", "nearest_cell", "containment_join",
     "containment_pairs", "descendants", "rebuild_original", "rebuild_quadrant", "rebuild_vs_original", "check_names",

@@ -12,6 +12,7 @@ from gridloom.functions.levels import (
     FINEST,
     ORIGIN_X,
     ORIGIN_Y,
+    PREFIXES,
     QUADRANTS,
     SIDES,
     level_to_prefix,
@@ -138,7 +139,12 @@ def name_to_center(name) -> str:
 @grid_function("name STRING", "BIGINT")
 def name_to_gid(name) -> str:
     """Key of the named cell; NULL when the name does not match."""
-    return encode.sql(_name_x(name), _name_y(name), _name_level(name))
+    # no match leaves the level NULL and with it the key, so the digits need no test of their own
+    side, east, north = (f"regexp_extract({name}, r'{NAME_PATTERN}', {i})" for i in (1, 2, 3))
+    x = f"bigint(rpad({east}, 7, '0'))"
+    y = f"bigint(rpad({north}, 7 + int(startswith({north}, '1')), '0'))"
+    levels = ", ".join(f"'{p}', {lv}L" for lv, p in enumerate(PREFIXES))
+    return encode.sql(x, y, f"try_element_at(map({levels}), {side})")
 
 
 @grid_function("x BIGINT, y BIGINT, level INT", "STRING")

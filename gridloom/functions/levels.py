@@ -66,5 +66,6 @@ UNCERTAINTY_STEPS = ((500, 200), (2500, 1000), (5000, 5000), (25000, 10000), (50
 @grid_function("radius BIGINT", "BIGINT")
 def uncertain_to_size(radius) -> str:
     """Side of the cell that suits a GeoURI uncertainty radius in metres."""
-    steps = " ".join(f"WHEN ({radius}) * 2L < {bound} THEN {side}L" for bound, side in UNCERTAINTY_STEPS)
-    return f"CASE {steps} ELSE {SIDES[0]}L END"
+    passed = " + ".join(f"int(({radius}) * 2L >= {bound}L)" for bound, _ in UNCERTAINTY_STEPS)
+    sides = ", ".join(f"{side}L" for _, side in UNCERTAINTY_STEPS)
+    return f"coalesce(get(array({sides}), {passed}), {SIDES[0]}L)"

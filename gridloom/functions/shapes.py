@@ -113,10 +113,10 @@ def square_wkt(gid, translate: bool = False, decimals: int | None = None) -> str
 @grid_function("wkt STRING", RING)
 def wkt_to_ring(wkt) -> str:
     """Outer ring of a POLYGON or single-part MULTIPOLYGON text."""
-    body = rf"nullif(regexp_extract({wkt}, r'\(+([^()]+)\)', 1), '')"
-    vertex = struct(x="double(w_[0])", y="double(w_[1])")
-    vertex = bind(r"split(trim(t_), r'\s+')", "w_", vertex)
-    return f"transform(split({body}, ','), t_ -> {vertex})"
+    body = rf"nullif(trim(regexp_extract({wkt}, r'\(+([^()]+)\)', 1)), '')"
+    vertex = struct(x="double(w_[2 * i_])", y="double(w_[2 * i_ + 1])")
+    vertices = f"transform(sequence(0, size(w_) div 2 - 1), i_ -> {vertex})"
+    return bind(rf"split({body}, r'[\s,]+')", "w_", f"IF(w_ IS NULL, NULL, {vertices})")
 
 
 # ---------------------------------------------------------------- ring measures

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions import forward, geouri_lat, geouri_level, geouri_lon, point_to_gid
+from gridloom.functions import (
+    forward,
+    geouri_lat,
+    geouri_lon,
+    geouri_uncertainty,
+    point_to_gid,
+    size_to_level,
+    uncertain_to_size,
+)
 from gridloom.functions._base import round_long
 from gridloom.functions.geouri import axes_to_geohash, geohash_axes
 
@@ -29,8 +37,9 @@ def locate_uris(
     out = with_xy(with_latlon(df, uri), float32=float32)
     if not honor_uncertainty:
         return out.withColumn("gid", point_to_gid("x", "y", level))
-    out = out.withColumn("_level", geouri_level(uri, level))
-    return out.withColumn("gid", point_to_gid("x", "y", "_level")).drop("_level")
+    snapped = size_to_level.sql(uncertain_to_size.sql("_u"))
+    out = out.withColumn("_u", geouri_uncertainty(uri)).selectExpr("*", f"IF(_u IS NULL, {level}, {snapped}) AS _level")
+    return out.withColumn("gid", point_to_gid("x", "y", "_level")).drop("_u", "_level")
 
 
 def with_geohash(df: DataFrame, lat: str = "lat", lon: str = "lon", digits: int = 9, name: str = "geohash") -> DataFrame:

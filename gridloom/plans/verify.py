@@ -26,7 +26,6 @@ from gridloom.functions.levels import FINEST
 from gridloom.operators.locate import locate_in_boxes
 from gridloom.functions.shapes import corner_columns, quad_centroid
 from gridloom.operators.points import with_geohash, with_latlon, with_xy
-from gridloom.operators.skew import keyed_join
 from gridloom.plans.rebuild import NAME_COLUMNS
 
 
@@ -40,7 +39,8 @@ def check_names(sample: DataFrame, compact: DataFrame) -> DataFrame:
     The names of coarser cells are taken from the centre; a reference corner lies on a border.
     """
     keyed = sample.withColumn("gid", name_to_gid("id_unico"))
-    found = keyed_join(keyed, compact.select("gid"), "gid", "inner")
+    # a cell name occurs once in the original grid, so no key can be hot
+    found = keyed.join(compact.select("gid"), "gid")
     placed = found.selectExpr("*", f"{center_x.sql('gid')} AS cx", f"{center_y.sql('gid')} AS cy")
     flags = {f"is_{c.replace('nome_', 'name')}": F.col(c) == point_to_name("cx", "cy", NAME_COLUMNS[c])
              for c in _own_and_names(sample)}
