@@ -15,6 +15,7 @@ Python, where building it operator by operator would cost hundreds.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, SparkSession
@@ -49,7 +50,10 @@ class GridFunction:
 
     @property
     def param_names(self) -> list[str]:
-        return [p.split()[0] for p in self.params.split(",")] if self.params else []
+        flat = self.params
+        while "<" in flat:  # drop the members of struct and array types
+            flat = re.sub(r"<[^<>]*>", "", flat)
+        return [p.split()[0] for p in flat.split(",")] if flat else []
 
     def sql(self, *args, **options) -> str:
         """Expression text; integers are passed on as they are, so that builders can fold them."""
