@@ -607,7 +607,7 @@ def control_points(spark, sf_dir):
     )
     control.write_control_points(points, path)
     read = control.read_control_points(spark, path)
-    return read.select("jurisdiction", "name", "wikidata_id", "osm_node_id", F.col("ibge_cell_nome").alias("cell_name"))
+    return read.select("jurisdiction", "name", "wikidata_id", "osm_node_id", "cell_name")
 
 
 @query
