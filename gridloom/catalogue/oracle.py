@@ -211,16 +211,17 @@ fx_ll AS (SELECT event_id, geo_uri,
 """ + forward("fx_ll", "fx_p")
 
 
-def geohash(lat: str, lon: str) -> str:
-    """Geohash of nine digits, bit by bit."""
-    lo = f"CAST(floor(({lon} + 180) / 360 * 8388608) AS BIGINT)"
-    la = f"CAST(floor(({lat} + 90) / 180 * 4194304) AS BIGINT)"
+def geohash(lat: str, lon: str, digits: int = 9) -> str:
+    """Geohash, bit by bit."""
+    lon_bits, lat_bits = (5 * digits + 1) // 2, 5 * digits // 2
+    lo = f"CAST(floor(({lon} + 180) / 360 * {1 << lon_bits}) AS BIGINT)"
+    la = f"CAST(floor(({lat} + 90) / 180 * {1 << lat_bits}) AS BIGINT)"
     out = []
-    for d in range(9):
+    for d in range(digits):
         bits = []
         for b in range(5):
             k = 5 * d + b
-            src, width = (lo, 23) if k % 2 == 0 else (la, 22)
+            src, width = (lo, lon_bits) if k % 2 == 0 else (la, lat_bits)
             bits.append(f"(({src} >> {width - 1 - k // 2}) & 1) * {16 >> b}")
         out.append(f"substr('0123456789bcdefghjkmnpqrstuvwxyz', CAST({' + '.join(bits)} AS INTEGER) + 1, 1)")
     return "(" + " || ".join(out) + ")"
@@ -369,6 +370,16 @@ fx_ll AS (SELECT src, event_id, geo_uri, CAST(regexp_extract(geo_uri, '{_RE_URI}
     q["resolve_point"] = _w(resolve, f"""SELECT src, event_id, geo_uri, {gid('x', 'y', 5)} AS gid_l5, {gid('x', 'y', 0)} AS gid_l0,
   {name('x', 'y', 5)} AS name_l5, {q_text(quadrant('x', 'y'))} AS quadrant, {geohash('lat', 'lon')} AS geohash,
   CAST(c.pop AS BIGINT) AS pop, CAST(c.dom_ocu AS BIGINT) AS dom_ocu, c.pop_fem_perc, 100 - c.pop_fem_perc AS pop_masc_perc
+FROM fx_p LEFT JOIN fx_compact c ON c.gid = {gid('x', 'y', 5)}""")
+    # six digits leave a cell of about 1 km by 0.6 km at these latitudes, so level 5 is the level of like size
+    hashed = resolve.rsplit("fx_all AS (", 1)[0] + f"""
+fx_all AS (SELECT event_id, CAST(CAST(round(lat, 6) AS DECIMAL(9,6)) AS DOUBLE) AS lat0, CAST(CAST(round(lon, 6) AS DECIMAL(9,6)) AS DOUBLE) AS lon0 FROM fx_pll),
+fx_ll AS (SELECT event_id, {geohash('lat0', 'lon0', 6)} AS geohash,
+  (floor((lat0 + 90) / 180 * 32768) + 0.5::DOUBLE) * 180 / 32768 - 90 AS lat,
+  (floor((lon0 + 180) / 360 * 32768) + 0.5::DOUBLE) * 360 / 32768 - 180 AS lon FROM fx_all),
+""" + forward("fx_ll", "fx_p")
+    q["resolve_geohash"] = _w(hashed, f"""SELECT event_id, geohash, {gid('x', 'y', 5)} AS gid,
+  CAST(c.pop AS BIGINT) AS pop, CAST(c.dom_ocu AS BIGINT) AS dom_ocu, c.pop_fem_perc, 100 - c.pop_fem_perc AS pop_masc_perc
 FROM fx_p LEFT JOIN fx_compact c ON c.gid = {gid('x', 'y', 5)}""")
     q["resolve_name"] = _w(COMPACT, f"""SELECT n.src, n.name, CASE WHEN n.bad THEN NULL ELSE n.src END AS gid,
   CAST(c.pop AS BIGINT) AS pop, CAST(c.dom_ocu AS BIGINT) AS dom_ocu, c.pop_fem_perc, 100 - c.pop_fem_perc AS pop_masc_perc
@@ -450,6 +461,8 @@ fx_v AS (SELECT gid, level, pop, pop_fem_perc, dom_ocu, {name_any('cx', 'cy', 'l
         """SELECT CAST(gid AS VARCHAR) AS id, id_unico, CAST(pop AS BIGINT) AS pop, pop_fem_perc, CAST(dom_ocu AS BIGINT) AS dom_ocu, ord,
   round(lon, 6) AS lon, round(lat, 6) AS lat FROM fx_ll""")
     q["geojson_read"] = q["geojson_documents"] = q["geojson_features"]
+    q["geojson_headers"] = _w(COMPACT, """SELECT CAST(gid AS VARCHAR) AS root, 'FeatureCollection' AS type, 'cells' AS name, CAST(2 AS BIGINT) AS n_members
+FROM fx_levels WHERE level = 0""")
     q["control_points"] = _w(ORIGINAL, """SELECT 'BR, "' || quadrante || '"' AS jurisdiction, 'Ponto ' || id_unico AS name, gid AS wikidata_id, CAST(NULL AS BIGINT) AS osm_node_id,
   id_unico AS cell_name FROM fx_original""")
 

@@ -34,9 +34,9 @@ def write_compact(compact: DataFrame, path: str, mode: str = "overwrite") -> int
     seen = Observation("written")
     (
         compact.withColumn("level", gid_level("gid"))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .repartitionByRange("level", "gid")
         .sortWithinPartitions("level", "gid")
+        .observe(seen, F.count(F.lit(1)).alias("rows"))  # after the ranging, which reads its input twice
         .write.mode(mode)
         .partitionBy("level")
         .parquet(path)

@@ -87,3 +87,11 @@ def test_pretty_size(spark):
     sizes = [(10239,), (10240,), (726556672,), (4311826432,)]
     got = [r[0] for r in spark.createDataFrame(sizes, "n long").select(manifest.pretty_size(F.col("n"))).collect()]
     assert got == ["10239 bytes", "10 kB", "693 MB", "4112 MB"]
+
+
+def test_load_returns_the_rows_written_once(spark, tmp_path):
+    from gridloom.plans.load import load_from_original, open_compact
+
+    path = str(tmp_path / "compact")
+    n = load_from_original(I.read_stored_original(spark, SF), path)
+    assert n == open_compact(spark, path).count() == 11211
