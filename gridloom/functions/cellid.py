@@ -139,8 +139,10 @@ def name_to_center(name) -> str:
 @grid_function("name STRING", "BIGINT")
 def name_to_gid(name) -> str:
     """Key of the named cell; NULL when the name does not match."""
-    # no match leaves the level NULL and with it the key, so the digits need no test of their own
-    side, east, north = (f"regexp_extract({name}, r'{NAME_PATTERN}', {i})" for i in (1, 2, 3))
+    # one match per name, then cut at the letters; no match leaves the level NULL and with it the key
+    whole = f"regexp_extract({name}, r'{NAME_PATTERN}', 0)"
+    side, north = f"substring_index({whole}, 'E', 1)", f"substring_index({whole}, 'N', -1)"
+    east = f"substring_index(substring_index({whole}, 'E', -1), 'N', 1)"
     x = f"bigint(rpad({east}, 7, '0'))"
     y = f"bigint(rpad({north}, 7 + int(startswith({north}, '1')), '0'))"
     levels = ", ".join(f"'{p}', {lv}L" for lv, p in enumerate(PREFIXES))
