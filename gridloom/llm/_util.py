@@ -4,13 +4,61 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.session import scratch_path
 
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``; exactly what ``bytes.split()`` splits on.
-SPACES = " \t\n\x0b\x0c\r"
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+#: Bytes of texts worked on at a time.
+_CHUNK = 1_000_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers with their bits spread; one to one."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def lowered_chunks(texts, lower: bool = True):
+    """Lists of the UTF-8 of Arrow strings, of about ``_CHUNK`` bytes in all, with A-Z lowered; null reads as empty."""
+    held, size = [], 0
+    for text in texts:
+        data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+        held.append(data.lower() if lower else data)
+        size += len(data)
+        if size >= _CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def hashed_words(texts: list[bytes]):
+    """Words of some UTF-8 texts joined by line ends.
+
+    Returns the joined bytes, which of them are white space, where each text ends, and of each word where it stops,
+    the number of its text, and an unsigned 64-bit hash.
+    """
+    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    last = np.cumsum([len(t) + 1 for t in texts]) - 1
+    space = _IS_SPACE[data]
+    before = np.empty_like(space)
+    before[0], before[1:] = True, space[:-1]
+    start, stop = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(len(data), _BASE, np.uint64))
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
+        # Divided by the power where the word starts, so that equal words are equal wherever they stand.
+        word = (total[stop] - total[start]) * np.cumprod(np.full(len(data), _INVERSE, np.uint64))[start]
+    return data, space, last, stop, np.searchsorted(last, start), mixed(word)
 
 
 def words_of(text: str | None, lower: bool = True) -> list[bytes]:

@@ -20,61 +20,28 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._util import ready, staged, text_bytes
+from gridloom.llm._util import hashed_words, lowered_chunks, ready, staged, text_bytes
 
 ORDER = 5
 BLOCK_BYTES = 40_000_000
 #: 256 bytes without the six white-space ones, and the two that stand for the word gap and the end.
 ALPHABET = 252
 GAP, END = 0x20, 0x0A
-#: Bytes worked on at a time within a block.
-_CHUNK = 1_000_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
-_IS_SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
+_MIX = 0xBF58476D1CE4E5B9
 #: The end, where words are counted; no mixed hash is known to take this value.
 _END_WORD = -1
 
 
-def _chunks(texts):
-    """Lists of UTF-8 texts of about ``_CHUNK`` bytes, A-Z lowered."""
-    held, size = [], 0
-    for text in texts:
-        held.append((text.as_py() or "").encode("utf-8", "surrogatepass").lower())
-        size += len(held[-1])
-        if size >= _CHUNK:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _read(texts: list[bytes], order: int):
     """Of some texts: hash and text number of each word; packed context and text number of each coded byte.
 
     A text is coded as its words with one gap between and an end after them; before it stand ends alone.
     """
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    last = np.cumsum([len(t) + 1 for t in texts]) - 1
-    space = _IS_SPACE[data]
-    before = np.empty_like(space)
-    before[0], before[1:] = True, space[:-1]
-    start, stop = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-    of_word = np.searchsorted(last, start)
-
-    with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(data), _BASE, np.uint64))
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=total[1:])
-        # Divided by the power where the word starts, so that equal words are equal wherever they stand.
-        word = (total[stop] - total[start]) * np.cumprod(np.full(len(data), _INVERSE, np.uint64))[start]
-        word = (word ^ (word >> np.uint64(31))) * _MIX
-        word ^= word >> np.uint64(29)
-
+    data, space, last, stop, of_word, word = hashed_words(texts)
     inner = np.ones(len(stop), bool)
     inner[np.flatnonzero(np.diff(of_word, append=-1))] = False
     code = data.copy()
@@ -103,7 +70,7 @@ class _Index:
 
     def __init__(self, keys: np.ndarray):
         self.keys, self.tables, left = keys, [], np.arange(len(keys))
-        mixer = int(_MIX)
+        mixer = _MIX
         while len(left):
             bits = max(4, int(len(left) * 2).bit_length())
             mixer = mixer * 0x2545F4914F6CDD1D % (1 << 64) | 1
@@ -168,7 +135,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 def _distinct(texts, held, order: int):
     """For grams, then words: the distinct keys of a block and how often they stand in its training texts."""
     found, at = ([], []), 0
-    for some in _chunks(texts):
+    for some in lowered_chunks(texts):
         word, of_word, gram, of_byte = _read(some, order)
         trains = ~held[at : at + len(some)]
         at += len(some)
@@ -293,14 +260,14 @@ def _score_block(order: int, buckets: int, total: int, distinct: int):
         held = docs["held"].to_numpy()
         index, value = [], []
         for kind, (keys, _) in enumerate(_distinct(docs["text"], held, order)):
-            mine = answers.filter(pa.compute.equal(answers["kind"], kind)).sort_by("bucket")
+            mine = answers.filter(pc.equal(answers["kind"], kind)).sort_by("bucket")
             by, _, _ = _dealt(keys, buckets)
             index.append(_Index(keys[by]))
             value.append(_flat(mine["vals"]))
             assert len(value[-1]) == len(keys), "a block and its answers differ"
         end = value[1][index[1](np.array([_END_WORD]))[0]]
         columns = [[], [], [], []]
-        for some in _chunks(docs["text"]):
+        for some in lowered_chunks(docs["text"]):
             word, of_word, gram, of_byte = _read(some, order)
             c, n = value[1][index[1](word)], len(some)
             base = np.log10((c + 0.5) / floor)
