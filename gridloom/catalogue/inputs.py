@@ -7,6 +7,7 @@ The tables hold no geography, so every query starts from a deterministic mapping
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.functions import (
     center_x,
@@ -163,6 +164,23 @@ def stored_original(spark: SparkSession, sf_dir: str, decimals: int | None = 6)
     return _once(spark, sf_dir, f"original-{decimals}", write)
 
 
+def faulty_original(spark: SparkSession, sf_dir: str, decimals: int | None = 6) -> DataFrame:
+    """The stored original grid with faults to be found, chosen by the population figure.
+
+    Two names are swapped where it divides by 7, one is no name where it divides by 11, and the geometry lies one
+    kilometre too far east where it divides by 97.
+    """
+    swapped, moved = "pop % 7 = 0", square_wkt.sql("gid + 1000 * 1000000000L", translate=True, decimals=decimals)
+    return read_stored_original(spark, sf_dir, decimals).withColumns(
+        {
+            "nome_5km": F.expr(f"IF({swapped}, nome_10km, nome_5km)"),
+            "nome_10km": F.expr(f"IF({swapped}, nome_5km, nome_10km)"),
+            "nome_100km": F.expr("IF(pop % 11 = 0, 'none', nome_100km)"),
+            "geom": F.expr(f"IF(pop % 97 = 0, {moved}, geom)"),
+        }
+    )
+
+
 def _original_column(ddl: str) -> str:
     name, kind = ddl.split()
     return f"double(NULL) AS {name}" if name.startswith("shape_") else f"cast({name} AS {kind}) AS {name}"

@@ -12,6 +12,7 @@ from gridloom.functions.levels import PREFIXES, QUADRANTS, SIDES
 _IDS = ", ".join(str(q) for q in QUADRANTS)
 _LEVEL_ROWS = ", ".join(f"({lv}, {s}, '{p}')" for lv, (s, p) in enumerate(zip(SIDES, PREFIXES)))
 _NAME_COLUMN = {lv: f"nome_{PREFIXES[lv].lower()}" for lv in range(5, -1, -1)}
+# The forms of a cell name and of a GeoURI.
 _RE_NAME = r"([0-9]+(?:M|KM))E([0-9]+)N([0-9]+)"
 _RE_URI = r"^geo:([+\-]?\d+\.?\d*),([+\-]?\d+\.?\d*)(?:;.+)?$"
 
@@ -244,6 +245,12 @@ fx_rebuilt AS (SELECT gid, cx, cy, {name_any('cx', 'cy', 'level')} AS id_unico,
 _REBUILT_COLUMNS = (
     "gid, id_unico, " + ", ".join(_NAME_COLUMN.values()) + ", quadrante, masc, fem, pop, dom_ocu, geom"
 )
+# the original table with the faults of inputs.faulty_original, and the names as they should be
+_FAULTY = ORIGINAL + f""",
+fx_faulty AS (SELECT * REPLACE (CASE WHEN pop % 7 = 0 THEN nome_10km ELSE nome_5km END AS nome_5km,
+    CASE WHEN pop % 7 = 0 THEN nome_5km ELSE nome_10km END AS nome_10km, CASE WHEN pop % 11 = 0 THEN 'none' ELSE nome_100km END AS nome_100km),
+  {', '.join(f"{name('cx', 'cy', lv)} AS t{lv}" for lv in range(7))} FROM fx_original)"""
+_FLAGS = ", ".join(f"{c} = t{lv} AS is_{c.replace('nome_', 'name')}" for lv, c in _NAME_COLUMN.items())
 _LX, _LY = (int(str(ONE_CELL)[:7]), int(str(ONE_CELL)[7:15]))
 _IN_ONE = f"level > 1 AND cx >= {_LX} AND cx < {_LX} + 100000 AND cy >= {_LY} AND cy < {_LY} + 100000"
 _CORNERS = "(VALUES (0, -1, -1), (1, -1, 1), (2, 1, 1), (3, 1, -1), (4, -1, -1)) v(ord, dx, dy)"
@@ -288,7 +295,9 @@ fx_nx AS (SELECT src, name, side, CAST(rpad(e, 7, '0') AS BIGINT) AS x,
     q["gid_to_name"] = _w(ORIGINAL, "SELECT gid, id_unico AS name FROM fx_original")
     q["center_to_ref"] = _w(CELLS, """SELECT CAST(cx AS BIGINT) AS cx, CAST(cy AS BIGINT) AS cy, CAST(lvl AS BIGINT) AS level, x AS x_ref, y AS y_ref,
   CAST(side // 2 AS BIGINT) AS half, gid FROM fx_cells""")
-    q["name_roundtrip"] = _w(ORIGINAL, "SELECT count(*) AS n_samples, 3 * count(*) AS n_ok, true AS all_ok FROM fx_original")
+    q["name_roundtrip"] = _w(ORIGINAL, """SELECT 'sound' AS input, count(*) AS n_samples, CAST(sum(ok) AS BIGINT) AS n_ok, sum(ok) = 3 * count(*) AS all_ok
+FROM (SELECT 3 AS ok FROM fx_original) s UNION ALL SELECT 'faulty', count(*), CAST(sum(ok) AS BIGINT), sum(ok) = 3 * count(*)
+FROM (SELECT 3 - CASE WHEN pop % 11 = 0 THEN 1 ELSE 0 END AS ok FROM fx_original) f""")
     q["snap_ij"] = _w(_XYL, "SELECT event_id, CAST(level AS BIGINT) AS level, (x - 2800000) // s AS i, (y - 7350000) // s AS j, CAST(s AS BIGINT) AS size FROM fx_l")
     q["snap_ref"] = _w(_XYL, """SELECT event_id, CAST(level AS BIGINT) AS level, 2800000 + ((x - 2800000) // s) * s AS x_ref,
   7350000 + ((y - 7350000) // s) * s + CASE WHEN s = 200 THEN 200 ELSE 0 END AS y_ref FROM fx_l""")
@@ -311,9 +320,11 @@ FROM (SELECT unnest([{_IDS}]) AS q) t LEFT JOIN (SELECT gid, {quadrant('cx', 'cy
     q["containment_join"] = _w(CELLS, f"""SELECT a.big_gid, count(*) AS n, CAST(sum(c.pop) AS BIGINT) AS pop
 FROM (SELECT DISTINCT {gid('cx', 'cy', 2)} AS big_gid, {ref('cx', 'cy', 2)[0]} AS ax, {ref('cx', 'cy', 2)[1]} AS ay FROM fx_cells) a
 JOIN fx_cells c ON c.cx >= a.ax AND c.cx < a.ax + 50000 AND c.cy >= a.ay AND c.cy < a.ay + 50000 GROUP BY 1""")
-    q["containment_pairs"] = _w(PLACED, """SELECT a.gid AS big_gid, c.gid AS gid, c.pop FROM fx_placed a
-JOIN fx_placed c ON a.level < c.level AND c.cx >= a.rx AND c.cx < a.rx + a.s AND c.cy >= a.ry AND c.cy < a.ry + a.s
-WHERE a.level IN (3, 4) AND NOT c.is_cache""")
+    q["containment_pairs"] = _w(PLACED + """,
+fx_area AS MATERIALIZED (SELECT level, rx, ry, s, gid AS big_gid FROM fx_placed WHERE level IN (3, 4)),
+fx_native AS MATERIALIZED (SELECT gid, pop, cx, cy FROM fx_placed WHERE NOT is_cache)""", " UNION ALL ".join(
+        f"SELECT big_gid, gid, CAST(pop AS BIGINT) AS pop FROM fx_native JOIN fx_area ON level = {lv} AND rx = {ref('cx', 'cy', lv)[0]} AND ry = {ref('cx', 'cy', lv)[1]}"
+        for lv in (3, 4)))
     q["descendants"] = _w(PLACED, f"SELECT gid, CAST(pop AS BIGINT) AS pop FROM fx_placed WHERE {_IN_ONE}")
 
     # ---- projection, URIs
@@ -354,10 +365,10 @@ JOIN fx_edge e ON e.p = c.p""")
     q["axis_values"] = _w(PLACED, "SELECT DISTINCT 'x' AS axis, level, cx AS v FROM fx_placed UNION ALL SELECT DISTINCT 'y', level, cy FROM fx_placed")
     q["level_view"] = _w(PLACED, f"""SELECT level, gid, {name_any('cx', 'cy', 'level')} AS id_unico, CAST(pop AS BIGINT) AS pop, pop_fem_perc,
   CAST(dom_ocu AS BIGINT) AS dom_ocu, {square_wkt('cx', 'cy', '(s // 2)')} AS wkt FROM fx_placed WHERE level < 2""")
-    q["rebuild_original"] = _w(PLACED + f", fx_one AS (SELECT gid AS g1 FROM fx_placed WHERE {_IN_ONE})," + _REBUILT,
-        f"SELECT {_REBUILT_COLUMNS} FROM fx_rebuilt JOIN fx_one ON g1 = gid")
+    q["rebuild_original"] = _w(PLACED + "," + _REBUILT, f"SELECT {_REBUILT_COLUMNS} FROM fx_rebuilt WHERE {_IN_ONE.replace('level > 1 AND ', '')}")
     q["rebuild_quadrant"] = _w(PLACED + "," + _REBUILT, f"SELECT {_REBUILT_COLUMNS} FROM fx_rebuilt WHERE quadrante = {q_text(ONE_QUADRANT)}")
-    q["rebuild_vs_original"] = _w(ORIGINAL, "SELECT true AS ok_names, true AS ok_geometries, count(*) AS n FROM fx_original")
+    q["rebuild_vs_original"] = _w(_FAULTY, f"""SELECT {' AND '.join(f'{c} = t{lv}' for lv, c in _NAME_COLUMN.items())} AS ok_names,
+  pop % 97 <> 0 AS ok_geometries, count(*) AS n FROM fx_faulty GROUP BY 1, 2""")
 
     # ---- joins of points
     point_uri = "'geo:' || CAST(CAST(round(lat, 6) AS DECIMAL(9,6)) AS VARCHAR) || ',' || CAST(CAST(round(lon, 6) AS DECIMAL(9,6)) AS VARCHAR)"
@@ -405,11 +416,14 @@ fx_near AS (SELECT event_id, level,
   ELSE CAST(x_near - 500 AS VARCHAR) || lpad(CAST(y_near - 500 AS VARCHAR), 8, '0') || '5' END AS BIGINT) AS gid FROM fx_near""")
 
     # ---- verification and quality
-    q["check_names"] = _w(ORIGINAL, """SELECT id_unico, true AS is_unico, true AS is_name1km, true AS is_name5km, true AS is_name10km,
-  true AS is_name50km, true AS is_name100km, true AS is_name500km FROM fx_original""")
-    q["check_uri_names"] = _w(ORIGINAL, """SELECT id_unico, CASE WHEN id_unico <> nome_1km THEN true END AS is_name200m, true AS is_name1km, true AS is_name5km,
-  true AS is_name10km, true AS is_name50km, true AS is_name100km, true AS is_name500km FROM fx_original""")
-    q["check_geometry"] = _w(CELLS, "SELECT count(*) AS n, true AS areas_ok, true AS centers_ok FROM fx_cells")
+    q["check_names"] = _w(_FAULTY, f"""SELECT id_unico, id_unico = CASE WHEN side = 200 THEN t6 ELSE t5 END AS is_unico, {_FLAGS}
+FROM fx_faulty WHERE gid % 13 <> 0""")
+    q["check_uri_names"] = _w(_FAULTY + """,
+fx_named AS (SELECT * REPLACE (CASE WHEN pop % 13 = 0 THEN 'X' || id_unico ELSE id_unico END AS id_unico) FROM fx_faulty)""",
+        f"SELECT id_unico, CASE WHEN id_unico <> nome_1km THEN id_unico = t6 END AS is_name200m, {_FLAGS} FROM fx_named")
+    q["check_geometry"] = _w(CELLS + """,
+fx_moved AS (SELECT 'sound' AS input, side, 0 AS dx FROM fx_cells UNION ALL SELECT 'faulty', side, CASE WHEN pop % 97 = 0 THEN 1000 ELSE 0 END FROM fx_cells)""",
+        """SELECT input, count(*) AS n, bool_and(greatest(0, side - dx) * side = side * side) AS areas_ok, true AS centers_ok FROM fx_moved GROUP BY 1""")
     q["edge_rate"] = _w(ring + "," + ALBERS + "," + inverse("fx_v", "fx_i") + """,
 fx_rd AS (SELECT gid, ord, round(lat, 6) AS lat, round(lon, 6) AS lon FROM fx_i),
 fx_rs AS (SELECT *, sin(radians(lat)) AS sn FROM fx_rd),""" + f"""

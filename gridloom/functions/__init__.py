@@ -63,18 +63,22 @@ from gridloom.functions.levels import (
 from gridloom.functions.shapes import (
     cell_center_point,
     cell_ring,
+    clip_parts,
     clip_to_box,
     named_cell_center_point,
     named_cell_ring,
+    parts_area,
+    parts_centroid,
+    parts_contain,
     ring_area,
     ring_centroid,
     ring_contains,
-
     ring_to_wkt,
     ring_to_xy,
     square,
     square_contains,
     square_wkt,
+    wkt_to_parts,
     wkt_to_ring,
 )
 from gridloom.functions.text import json_slice, prefix_join

@@ -15,6 +15,7 @@ Python, where building it operator by operator would cost hundreds.
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 from collections.abc import Callable
 
@@ -68,11 +69,11 @@ class GridFunction:
         return F.call_function(name, *columns)
 
     def register(self, spark: SparkSession, name: str | None = None, **options) -> str:
-        """Create the temporary SQL function in the session; options give it a name of its own."""
+        """Create the temporary SQL function in the session; with options its name tells its body."""
+        body = self.build(*self.param_names, **options)
         if name is None:
-            name = "_".join([self.name, *[f"{k}_{v}" for k, v in sorted(options.items())]]).replace(" ", "").lower()
+            name = f"{self.name}_{hashlib.sha256(body.encode()).hexdigest()[:24]}" if options else self.name
         if not spark.catalog.functionExists(name):
-            body = self.build(*self.param_names, **options)
             spark.sql(f"CREATE TEMPORARY FUNCTION {name}({self.params}) RETURNS {self.returns} RETURN {body}")
         return name
 
@@ -98,6 +99,11 @@ def bind(value: str, var: str, body: str) -> str:
     return f"get(transform(array({value}), {var} -> {body}), 0)"
 
 
+def quoted(text: str) -> str:
+    """SQL string literal of any text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def struct(**fields: str) -> str:
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 

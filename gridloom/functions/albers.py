@@ -88,6 +88,11 @@ def _single(value: str, float32: bool) -> str:
     return f"double(float({value}))" if float32 else f"double({value})"
 
 
+def on_earth(lat: str, lon: str) -> str:
+    """Whether a latitude and longitude are within 90 and 180 degrees."""
+    return f"(abs({lat}) <= 90D AND abs({lon}) <= 180D)"
+
+
 @grid_function("lat DOUBLE, lon DOUBLE", "STRUCT<x: BIGINT, y: BIGINT>")
 def latlon_to_xy(lat, lon, float32: bool = False) -> str:
     """struct<x, y> of the projected point, rounded to the metre."""
@@ -95,15 +100,20 @@ def latlon_to_xy(lat, lon, float32: bool = False) -> str:
     return struct(x=round_long(x), y=round_long(y))
 
 
+def projected_gid(lat: str, lon: str, level, float32: bool = False) -> str:
+    """Key of the cell at coordinates that are known to be on Earth or NULL."""
+    x, y = forward(_single(lat, float32), _single(lon, float32))
+    return point_to_gid.sql(round_long(x), round_long(y), level)
+
+
 @grid_function("lat DOUBLE, lon DOUBLE, level INT", "BIGINT")
 def latlon_to_gid(lat, lon, level=5, float32: bool = False) -> str:
-    """Key of the cell that holds a latitude and longitude.
+    """Key of the cell that holds a latitude and longitude; NULL for a point that is not on Earth.
 
     ``float32`` first narrows the coordinates to single precision, as systems that
     store them so do; the default keeps double precision.
     """
-    x, y = forward(_single(lat, float32), _single(lon, float32))
-    return point_to_gid.sql(round_long(x), round_long(y), level)
+    return f"IF({on_earth(lat, lon)}, {projected_gid(lat, lon, level, float32)}, NULL)"
 
 
 @grid_function("x DOUBLE, y DOUBLE", "STRUCT<lon: DOUBLE, lat: DOUBLE>")

@@ -7,7 +7,7 @@ plain arithmetic, all conversions stay inside whole-stage code generation.
 
 from __future__ import annotations
 
-from gridloom.functions._base import grid_function, struct
+from gridloom.functions._base import bind, grid_function, quoted, struct
 from gridloom.functions.levels import (
     FINEST,
     ORIGIN_X,
@@ -95,45 +95,33 @@ def center_to_gid(x, y, level) -> str:
 
 # ---------------------------------------------------------------- names
 
-def _part(name: str, i: int) -> str:
-    return f"nullif(regexp_extract({name}, r'{NAME_PATTERN}', {i}), '')"
-
-
 @grid_function("name STRING", "ARRAY<STRING>")
 def name_to_parts(name) -> str:
     """array<string> of side, east and north digits; NULL when the name does not match."""
-    parts = ", ".join(_part(name, i) for i in (1, 2, 3))
-    return f"CASE WHEN {name} RLIKE r'{NAME_PATTERN}' THEN array({parts}) END"
-
+    whole = f"nullif(regexp_extract({name}, r'{NAME_PATTERN}', 0), '')"  # one match per name
+    return f"split({whole}, '[EN]')"
 
-def _name_level(name: str) -> str:
-    return prefix_to_level.sql(_part(name, 1))
 
+def _of_parts(name: str, body: str) -> str:
+    """``body`` over the parts of a name, matched once and called ``p_``."""
+    return bind(name_to_parts.sql(name), "p_", body)
 
-def _name_x(name: str) -> str:
-    return f"bigint(rpad({_part(name, 2)}, 7, '0'))"
 
-
-def _name_y(name: str) -> str:
-    digits = _part(name, 3)
-    return f"bigint(rpad({digits}, IF(startswith({digits}, '1'), 8, 7), '0'))"
+_LEVEL = prefix_to_level.sql("p_[0]")
+_X = "bigint(rpad(p_[1], 7, '0'))"
+_Y = "bigint(rpad(p_[2], IF(startswith(p_[2], '1'), 8, 7), '0'))"
 
 
 @grid_function("name STRING", "STRUCT<level: INT, x: BIGINT, y: BIGINT>")
 def name_to_ref(name) -> str:
     """struct<level, x, y> of the named cell, coordinates in metres."""
-    return struct(level=_name_level(name), x=_name_x(name), y=_name_y(name))
+    return _of_parts(name, struct(level=_LEVEL, x=_X, y=_Y))
 
 
 @grid_function("name STRING", XYL)
 def name_to_center(name) -> str:
     """struct<x, y, level> of the centre of the named cell."""
-    level = _name_level(name)
-    return struct(
-        x=f"({_name_x(name)} + {per_level(_HALF, level)})",
-        y=f"({_name_y(name)} + {per_level(_HALF_UP, level)})",
-        level=level,
-    )
+    return _of_parts(name, struct(x=f"({_X} + {per_level(_HALF, _LEVEL)})", y=f"({_Y} + {per_level(_HALF_UP, _LEVEL)})", level=_LEVEL))
 
 
 @grid_function("name STRING", "BIGINT")
@@ -282,7 +270,7 @@ def quadrants() -> str:
 
 @grid_function("quadrant BIGINT", "STRING")
 def quadrant_text(quadrant, prefix: str = "ID_") -> str:
-    return f"concat('{prefix}', lpad(string({quadrant}), 2, '0'))"
+    return f"concat({quoted(prefix)}, lpad(string({quadrant}), 2, '0'))"
 
 
 @grid_function("", "ARRAY<STRING>")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gridloom.functions._base import bind, grid_function, round_long, struct
-from gridloom.functions.albers import latlon_to_gid
+from gridloom.functions.albers import latlon_to_gid, on_earth, projected_gid
 from gridloom.functions.levels import size_to_level, uncertain_to_size
 
 # The accepted GeoURI form, its uncertainty parameter, the geohash alphabet.
@@ -12,25 +12,32 @@ UNCERTAINTY_PATTERN = r"(?s)^geo:[^;]*;.*?u\s*=\s*(\d+\.?\d*)"
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
+def _degrees(uri: str, group: int, most: float) -> str:
+    """A coordinate, NULL beyond ``most``; bound once, so that a filter pushed below does not parse the text again."""
+    return bind(_number(uri, GEOURI_PATTERN, group), "v_", f"IF(abs(v_) <= {most!r}D, v_, NULL)")
+
+
 def _number(uri: str, pattern: str, group: int) -> str:
     return f"double(nullif(regexp_extract({uri}, r'{pattern}', {group}), ''))"
 
 
 @grid_function("uri STRING", "DOUBLE")
 def geouri_lat(uri) -> str:
-    """Latitude of a GeoURI; NULL when malformed."""
-    return _number(uri, GEOURI_PATTERN, 1)
+    """Latitude of a GeoURI; NULL when malformed or beyond 90 degrees."""
+    return _degrees(uri, 1, 90.0)
 
 
 @grid_function("uri STRING", "DOUBLE")
 def geouri_lon(uri) -> str:
-    return _number(uri, GEOURI_PATTERN, 2)
+    """Longitude of a GeoURI; NULL when malformed or beyond 180 degrees."""
+    return _degrees(uri, 2, 180.0)
 
 
 @grid_function("uri STRING", "BIGINT")
 def geouri_uncertainty(uri) -> str:
-    """Uncertainty radius (``u=``) in whole metres; NULL when absent or the URI is malformed."""
-    return f"CASE WHEN {uri} RLIKE r'{GEOURI_PATTERN}' THEN {round_long(_number(uri, UNCERTAINTY_PATTERN, 1))} END"
+    """Uncertainty radius (``u=``) in whole metres; NULL when absent or beyond 64 bits, or the URI is malformed."""
+    metres = f"try_cast(rint({_number(uri, UNCERTAINTY_PATTERN, 1)}) AS BIGINT)"
+    return f"CASE WHEN {uri} RLIKE r'{GEOURI_PATTERN}' THEN {metres} END"
 
 
 @grid_function("uri STRING, level INT", "INT")
@@ -44,7 +51,7 @@ def geouri_level(uri, level=5) -> str:
 def geouri_to_gid(uri, level=5, honor_uncertainty: bool = True, float32: bool = False) -> str:
     """Key of the cell a GeoURI falls in; NULL when the URI is malformed."""
     at = geouri_level.sql(uri, level) if honor_uncertainty else level
-    return latlon_to_gid.sql(geouri_lat.sql(uri), geouri_lon.sql(uri), at, float32=float32)
+    return projected_gid(geouri_lat.sql(uri), geouri_lon.sql(uri), at, float32)
 
 
 # ---------------------------------------------------------------- geohash
@@ -97,13 +104,13 @@ def axes_to_geohash(lon_axis: str, lat_axis: str, digits: int) -> str:
 
 @grid_function("lat DOUBLE, lon DOUBLE", "STRING")
 def latlon_to_geohash(lat, lon, digits: int = 9) -> str:
-    """Geohash of a point."""
-    return axes_to_geohash(*geohash_axes(lat, lon, digits), digits)
+    """Geohash of a point; NULL for one that is not on Earth."""
+    return f"IF({on_earth(lat, lon)}, {axes_to_geohash(*geohash_axes(lat, lon, digits), digits)}, NULL)"
 
 
 @grid_function("uri STRING", "STRING")
 def geouri_to_geohash(uri, digits: int = 9) -> str:
-    return latlon_to_geohash.sql(geouri_lat.sql(uri), geouri_lon.sql(uri), digits=digits)
+    return axes_to_geohash(*geohash_axes(geouri_lat.sql(uri), geouri_lon.sql(uri), digits), digits)
 
 
 GEOHASH_CENTER = "STRUCT<lat: DOUBLE, lon: DOUBLE, lat_width: DOUBLE, lon_width: DOUBLE>"
@@ -111,7 +118,10 @@ GEOHASH_CENTER = "STRUCT<lat: DOUBLE, lon: DOUBLE, lat_width: DOUBLE, lon_width:
 
 @grid_function("geohash STRING", GEOHASH_CENTER)
 def geohash_center(geohash) -> str:
-    """struct<lat, lon, lat_width, lon_width> in degrees; NULL when a digit is not in the alphabet."""
+    """struct<lat, lon, lat_width, lon_width> in degrees; NULL when a digit is not in the alphabet or there are over 12.
+
+    Twelve digits are a few centimetres; more than 25 would not fit the 64-bit axis positions.
+    """
     start = struct(lon="0L", lat="0L", nlon="0", nlat="0")
     # position in the digit table: three bits of the axis whose turn it is, then two of the other
     three, two = "(v_ div 4L)", "(v_ % 4L)"

@@ -9,6 +9,7 @@ from gridloom.functions.levels import SIDES, per_level
 
 POINT = "STRUCT<x: DOUBLE, y: DOUBLE>"
 RING = f"ARRAY<{POINT}>"
+PARTS = f"ARRAY<ARRAY<{RING}>>"  # per part its outer ring, then its holes
 _EMPTY = f"cast(array() AS {RING})"
 _HALF = tuple(s // 2 for s in SIDES)
 
@@ -110,13 +111,36 @@ def square_wkt(gid, translate: bool = False, decimals: int | None = None) -> str
     return f"concat('POLYGON((', {vertices}, '))')"
 
 
+@grid_function("wkt STRING", PARTS)
+def wkt_to_parts(wkt) -> str:
+    """All parts of a POLYGON or MULTIPOLYGON text, each its outer ring and holes; z and m values are left out.
+
+    NULL for NULL, no part for an EMPTY shape; any other kind of geometry fails the job.
+    """
+    plain = rf"regexp_replace(trim({wkt}), r'\s*([(),])\s*', '$1')"
+    inner = r"regexp_extract(t_, r'(?s)^[^(]*\(+(.*?)\)+$', 1)"
+    vertex = bind(r"split(v_, r'\s+')", "w_", struct(x="double(w_[0])", y="double(w_[1])"))
+    vertices = f"transform(split(y_, ','), v_ -> {vertex})"
+    parts = rf"transform(split({inner}, r'\)\),\(\('), m_ -> transform(split(m_, r'\),\('), y_ -> {vertices}))"
+    kind = r"t_ RLIKE r'(?i)^(MULTI)?POLYGON\s*(Z|M|ZM)?\s*(\(|EMPTY$)'"
+    empty = r"t_ RLIKE r'(?i)EMPTY$'"
+    body = (
+        f"CASE WHEN t_ IS NULL THEN NULL WHEN NOT {kind} THEN raise_error(concat('not a polygon: ', left(t_, 80)))"
+        f" WHEN {empty} THEN cast(array() AS {PARTS}) ELSE {parts} END"
+    )
+    return bind(plain, "t_", body)
+
+
+def single_ring(parts: str) -> str:
+    """The ring of a shape that is one ring; NULL for none, an error rather than a loss for more."""
+    one = "CASE WHEN u_ IS NULL OR size(u_) = 0 THEN NULL WHEN size(u_) = 1 AND size(u_[0]) = 1 THEN u_[0][0]"
+    return bind(parts, "u_", f"{one} ELSE raise_error('a shape with several rings; use its parts') END")
+
+
 @grid_function("wkt STRING", RING)
 def wkt_to_ring(wkt) -> str:
-    """Outer ring of a POLYGON or single-part MULTIPOLYGON text."""
-    body = rf"nullif(trim(regexp_extract({wkt}, r'\(+([^()]+)\)', 1)), '')"
-    vertex = struct(x="double(w_[2 * i_])", y="double(w_[2 * i_ + 1])")
-    vertices = f"transform(sequence(0, size(w_) div 2 - 1), i_ -> {vertex})"
-    return bind(rf"split({body}, r'[\s,]+')", "w_", f"IF(w_ IS NULL, NULL, {vertices})")
+    """Ring of a POLYGON or MULTIPOLYGON text that is one ring; one with holes or several parts fails the job."""
+    return single_ring(wkt_to_parts.sql(wkt))
 
 
 # ---------------------------------------------------------------- ring measures
@@ -161,9 +185,8 @@ def ring_centroid(ring) -> str:
     return bind(ring, "r_", bind(_near("r_"), "n_", fold))
 
 
-@grid_function(f"ring {RING}, x DOUBLE, y DOUBLE", "BOOLEAN")
-def ring_contains(ring, x, y) -> str:
-    """True when the point lies strictly inside the ring (its border excluded), by even-odd crossing."""
+def _inside(sides: str, x: str, y: str) -> str:
+    """Even-odd crossing of the sides, with points on a side left out."""
     a, b = "s_.a", "s_.b"
     touches = (
         f"(({b}.x - {a}.x) * (v_.y - {a}.y) - ({b}.y - {a}.y) * (v_.x - {a}.x) = 0D"
@@ -177,8 +200,42 @@ def ring_contains(ring, x, y) -> str:
         f" AND v_.x < {a}.x + (v_.y - {a}.y) * ({b}.x - {a}.x) / {rise})"
     )
     test = f"(aggregate(v_.sides, false, (o_, s_) -> o_ <> {crosses}) AND NOT exists(v_.sides, s_ -> {touches}))"
-    inputs = struct(sides=bind(ring, "r_", _sides("r_")), x=f"double({x})", y=f"double({y})")
-    return bind(inputs, "v_", test)
+    return bind(struct(sides=sides, x=f"double({x})", y=f"double({y})"), "v_", test)
+
+
+@grid_function(f"ring {RING}, x DOUBLE, y DOUBLE", "BOOLEAN")
+def ring_contains(ring, x, y) -> str:
+    """True when the point lies strictly inside the ring (its border excluded), by even-odd crossing."""
+    return _inside(bind(ring, "r_", _sides("r_")), x, y)
+
+
+@grid_function(f"parts {PARTS}, x DOUBLE, y DOUBLE", "BOOLEAN")
+def parts_contain(parts, x, y) -> str:
+    """True when the point lies strictly inside a shape, outside its holes and on no border."""
+    return _inside(f"flatten(transform(flatten({parts}), r_ -> {_sides('r_')}))", x, y)
+
+
+def _signed(measure: str) -> str:
+    """Per part, ``measure`` of its rings (named ``e_``), those of holes negative."""
+    return f"transform(g_, (e_, j_) -> IF(j_ = 0, 1D, -1D) * {measure})"
+
+
+@grid_function(f"parts {PARTS}", "DOUBLE")
+def parts_area(parts) -> str:
+    """Planar area of a shape: outer rings less holes."""
+    areas = f"flatten(transform({parts}, g_ -> {_signed(ring_area.sql('e_'))}))"
+    return f"aggregate({areas}, 0D, (z_, k_) -> z_ + k_)"
+
+
+@grid_function(f"parts {PARTS}", POINT)
+def parts_centroid(parts) -> str:
+    """struct<x, y>: area-weighted centroid of a shape, holes taken out; NULL for one without area."""
+    weight = "IF(j_ = 0, 1D, -1D) * " + ring_area.sql("e_")
+    ring = bind(struct(a=weight, c=ring_centroid.sql("e_")), "f_", struct(a="f_.a", x="f_.a * f_.c.x", y="f_.a * f_.c.y"))
+    rings = f"flatten(transform({parts}, g_ -> transform(g_, (e_, j_) -> {ring})))"
+    start, step = struct(a="0D", x="0D", y="0D"), struct(a="z_.a + k_.a", x="z_.x + k_.x", y="z_.y + k_.y")
+    done = f"IF(z_.a = 0D, NULL, {struct(x='z_.x / z_.a', y='z_.y / z_.a')})"
+    return f"aggregate({rings}, {start}, (z_, k_) -> {step}, z_ -> {done})"
 
 
 @grid_function("gid BIGINT, x DOUBLE, y DOUBLE", "BOOLEAN")
@@ -217,3 +274,7 @@ def clip_to_box(ring, xmin, ymin, xmax, ymax) -> str:
     return f"aggregate(array({planes}), cast({ring} AS {RING}), (q_, h_) -> IF(size(q_) > 1, {cut}, {_EMPTY}))"
 
 
+@grid_function(f"parts {PARTS}, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE", PARTS)
+def clip_parts(parts, xmin, ymin, xmax, ymax) -> str:
+    """Intersection of a shape with an axis-parallel box, ring by ring; rings outside become empty."""
+    return f"transform({parts}, g_ -> transform(g_, e_ -> {clip_to_box.sql('e_', xmin, ymin, xmax, ymax)}))"

@@ -17,15 +17,17 @@ def descendants(cells: DataFrame, gid: int) -> DataFrame:
     """Rows of ``cells`` strictly inside the cell ``gid``.
 
     The east extent becomes a plain range on ``gid`` that the file scan can use to
-    skip row groups; the north extent is a residual on the cell centre.
+    skip row groups; the north extent is a residual on the cell centre. Where the cells
+    are stored by ``level`` the coarser levels' folders are not read.
     """
     x, y, level = gid // X_STEP, gid // Y_STEP % Y_RANGE, gid & 7
     side = SIDES[level]
     if level == FINEST:
         y -= side
     cy = center_y.sql("gid")
+    own = "level" if "level" in cells.columns else gid_level.sql("gid")
     return cells.filter(
-        f"gid >= {x * X_STEP}L AND gid < {(x + side) * X_STEP}L AND {gid_level.sql('gid')} > {level}"
+        f"gid >= {x * X_STEP}L AND gid < {(x + side) * X_STEP}L AND {own} > {level}"
         f" AND {cy} >= {y}L AND {cy} < {y + side}L"
     )
 

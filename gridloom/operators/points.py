@@ -26,7 +26,7 @@ def with_xy(df: DataFrame, lat: str = "lat", lon: str = "lon", float32: bool = F
 
 
 def with_latlon(df: DataFrame, uri: str = "geo_uri") -> DataFrame:
-    """Add ``lat``, ``lon`` read from a GeoURI; NULL when malformed."""
+    """Add ``lat``, ``lon`` read from a GeoURI; NULL when it is malformed or the coordinate is not on Earth."""
     return df.selectExpr("*", f"{geouri_lat.sql(uri)} AS lat", f"{geouri_lon.sql(uri)} AS lon")
 
 

@@ -21,9 +21,9 @@ def _compact(df: DataFrame, is_cache: bool, float32: bool = False) -> DataFrame:
     pop = "float(pop)" if float32 else "pop"
     return df.selectExpr(
         "gid",
-        f"int({pop}) AS pop",
+        f"bigint({pop}) AS pop",
         f"{percent('fem', 'pop', float32)} AS pop_fem_perc",
-        "int(dom_ocu) AS dom_ocu",
+        "bigint(dom_ocu) AS dom_ocu",
         f"{str(is_cache).lower()} AS is_cache",
     )
 

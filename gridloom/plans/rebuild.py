@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from gridloom.functions import center_x, center_y, gid_to_name, gid_to_quadrant, point_to_name, square_wkt
+from gridloom.functions import center_x, center_y, gid_to_name, point_to_name, square_wkt
 from gridloom.functions import xy_to_quadrant_text
 from gridloom.functions._base import round_long
 from gridloom.functions.cellid import X_STEP, Y_STEP
@@ -42,10 +42,8 @@ def rebuild(compact: DataFrame) -> DataFrame:
     )
 
 
-def rebuild_cell(compact: DataFrame, gid: int, limit: int | None = 10) -> DataFrame:
-    """Original rows inside one cell; ``limit=None`` gives all of them.
-
-    The limit takes the lowest keys, so that it always gives the same rows.
+def rebuild_cell(compact: DataFrame, gid: int, limit: int | None = None) -> DataFrame:
+    """Original rows inside one cell, or of those the ``limit`` with the lowest keys.
     """
     inside = descendants(compact.filter("NOT is_cache"), gid)
     if limit is not None:
@@ -57,8 +55,3 @@ def rebuild_quadrant(compact: DataFrame, quadrant: int) -> DataFrame:
     """Original rows of one quadrant, by its root cell's key range."""
     root = (ORIGIN_X + quadrant % 10 * SIDES[0]) * X_STEP + (ORIGIN_Y + quadrant // 10 * SIDES[0]) * Y_STEP
     return rebuild(descendants(compact, root))
-
-
-def by_quadrant(compact: DataFrame) -> DataFrame:
-    """Compact rows with their quadrant number."""
-    return compact.withColumn("quadrant", gid_to_quadrant("gid"))

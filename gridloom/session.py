@@ -29,12 +29,15 @@ def build_session(app: str = "gridloom", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor sees, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a local session, as in tests) is a temporary
-    folder made, and it is then kept for the session.
+    Where the setting is absent, a local session gets a temporary folder that is kept for
+    the session; on a cluster no folder of one machine would do, so that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master or 'the cluster'} share")
     folder = tempfile.mkdtemp(prefix="gridloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from gridloom.functions import gid_level
 
 # Fixed value: the columns of the compact grid, as exchanged and as stored.
-COMPACT_SCHEMA = "gid BIGINT, pop INT, pop_fem_perc SMALLINT, dom_ocu INT, is_cache BOOLEAN"
-_CSV_SCHEMA = "gid BIGINT, pop INT, pop_fem_perc SMALLINT, dom_ocu INT, is_cache STRING"
+# Totals are 64-bit, wider than the exchange format asks for: a coarse cell of a large grid sums to more than an INT.
+COMPACT_SCHEMA = "gid BIGINT, pop BIGINT, pop_fem_perc SMALLINT, dom_ocu BIGINT, is_cache BOOLEAN"
+_CSV_SCHEMA = "gid BIGINT, pop BIGINT, pop_fem_perc SMALLINT, dom_ocu BIGINT, is_cache STRING"
 
 
 def read_compact_csv(spark: SparkSession, path: str) -> DataFrame:

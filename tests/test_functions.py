@@ -161,3 +161,40 @@ def test_sql_functions_and_column_arguments_agree(spark):
         G.gid_to_quadrant_text(F.col("gid"), prefix="Q").alias("c"),
     ).collect()
     assert all(r.a == r.b for r in got) and got[0].c == "Q45"
+
+
+def test_shapes_of_several_rings(spark):
+    square, hole = "0 0,0 10,10 10,10 0,0 0", "2 2,2 4,4 4,4 2,2 2"
+    rows = [
+        (f"POLYGON(({square}),({hole}))", 96.0), (f"MULTIPOLYGON((({square})),((20 0,20 1,21 1,21 0,20 0)))", 101.0),
+        ("POLYGON Z((0 0 9,0 1 9,1 1 9,1 0 9,0 0 9))", 1.0), (f" polygon ( ( {square} ) , ( {hole} ) ) ", 96.0), ("POLYGON EMPTY", 0.0), (None, None),
+    ]
+    frame = spark.createDataFrame(rows, "wkt string, want double").selectExpr("want", f"{G.wkt_to_parts.sql('wkt')} AS p")
+    got = frame.select("want", G.parts_area("p").alias("a"), G.parts_contain("p", "1D", "1D").alias("c"), G.parts_contain("p", "3D", "3D").alias("h"), G.parts_contain("p", "2D", "3D").alias("e")).collect()
+    assert all(r.a == r.want for r in got)
+    assert (got[0].c, got[0].h, got[0].e, got[1].h) == (True, False, False, True)
+    center = frame.select(G.parts_centroid("p").alias("c")).first().c
+    assert center.x == pytest.approx((100 * 5 - 4 * 3) / 96)
+    clipped = frame.select(G.parts_area(G.clip_parts.sql("p", "0D", "0D", "3D", "10D")).alias("a")).first().a
+    assert clipped == pytest.approx(30 - 2)
+    for bad in ("POINT(1 2)", "LINESTRING(0 0,1 1)"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "w string").select(G.wkt_to_parts("w")).collect()
+    with pytest.raises(Exception):
+        spark.createDataFrame([(rows[0][0],)], "w string").select(G.wkt_to_ring("w")).collect()
+
+
+def test_column_form_keeps_options_apart(spark):
+    q = spark.createDataFrame([(45, '{"K":1,"k":2}')], "q int, d string")
+    texts = [q.select(G.quadrant_text(F.col("q"), prefix=p)).first()[0] for p in ("ID_", "id_", "BR-", "it's ", "a\\b")]
+    assert texts == ["ID_45", "id_45", "BR-45", "it's 45", "a\\b45"]
+    assert [q.select(G.json_slice(F.col("d"), key=k)).first()[0] for k in ("K", "k", "it's")] == ['{"K":1}', '{"k":2}', "{}"]
+
+
+def test_odd_uris(spark):
+    rows = [("geo:95.0,20.0",), ("geo:5.0,200.0",), ("geo:-9999,5",), ("geo:-10,-50;u=99999999999999999999",), ("geo:-10,-50;u=1e9",), ("geo:-10,-50",)]
+    got = spark.createDataFrame(rows, "u string").select(G.geouri_to_gid("u").alias("g"), G.geouri_to_geohash("u").alias("h"), G.geouri_uncertainty("u").alias("m")).collect()
+    assert [r.g is None and r.h is None for r in got] == [True] * 3 + [False] * 3
+    assert got[3].m is None and got[3].g == got[5].g
+    direct = spark.range(1).select(G.latlon_to_gid("91D", "0D"), G.latlon_to_geohash("0D", "181D"), G.latlon_to_gid("-10D", "-50D")).first()
+    assert direct[0] is None and direct[1] is None and direct[2] == got[5].g

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridloom import functions as G
 from gridloom.operators import compare, containment, dissolve, locate, nearest, pyramid, resolve
-from gridloom.operators.skew import heavy_keys, keyed_join
+from gridloom.operators.skew import keyed_join
 from gridloom.plans import rebuild, reports
 from gridloom.catalogue import inputs as I
 
@@ -20,9 +20,7 @@ def bag(df):
 def test_keyed_join_equals_plain_join_for_hot_and_null_keys(spark, how):
     left = spark.range(900).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 5 = 0 THEN NULL ELSE id % 40 END AS gid")
     right = spark.range(30).selectExpr("id AS gid", "id * 2 AS v")
-    assert set(heavy_keys(left, "gid", hot_rows=100)) == {7, None}
-    assert bag(keyed_join(left, right, "gid", how, hot_rows=100)) == bag(left.join(right, "gid", how))
-    assert bag(keyed_join(left, right, "gid", how, hot_rows=10**6)) == bag(left.join(right, "gid", how))
+    assert bag(keyed_join(left, right, "gid", how)) == bag(left.join(right, "gid", how))
 
 
 def test_pyramid_rows_per_level(spark):
@@ -118,7 +116,8 @@ def test_sample_percent(spark):
 
 def test_rebuild_limit_and_round_trip(spark):
     compact = I.stored_compact(spark, SF)
-    assert rebuild.rebuild_cell(compact, 5700000093500001).count() == 10
+    assert rebuild.rebuild_cell(compact, 5700000093500001, limit=10).count() == 10
+    assert rebuild.rebuild_cell(compact, 5700000093500001).count() > 10
     whole = rebuild.rebuild(compact)
     assert whole.columns == rebuild.REBUILT_COLUMNS and whole.count() == 10375
     assert whole.filter(G.name_to_gid("id_unico") != F.col("gid")).count() == 0
@@ -141,3 +140,52 @@ def test_resolve_geohash_sizes(spark):
     compact = I.stored_compact(spark, SF).drop("level")
     got = {r.geohash: r.gid for r in resolve.resolve_geohashes(df, compact).collect()}
     assert got["6gyf4bf1n"] == 5756000087008006 and got["6gyf4b"] & 7 == 5 and got["6gy"] & 7 <= 2 and got["!"] is None
+
+
+def test_totals_beyond_32_bits(spark):
+    cells = spark.createDataFrame([(5300000096300005 + i * 10**12, 1_500_000_000, 0, 0) for i in range(3)], "gid long, pop long, fem long, dom_ocu long")
+    assert {r["pop"] for r in pyramid.cached_sums(cells).filter("gid & 7 = 0").collect()} == {4_500_000_000}
+
+
+def test_building_a_join_starts_no_job_and_skew_is_split(spark):
+    tracker = spark.sparkContext.statusTracker()
+    left = spark.range(200_000).selectExpr("id", "IF(id % 3 = 0, 7L, id % 5000) AS gid", "repeat('x', 50) AS pad")
+    right = spark.range(5000).selectExpr("id AS gid", "id AS v")
+    points = I.stored_points(spark, SF)
+    spark.sparkContext.setJobGroup("build", "no job")
+    joined = keyed_join(left, right, "gid", "left")
+    locate.locate_points(points, right.select("gid"))
+    containment.containment_join(right.selectExpr("gid", "v AS pop"), right.selectExpr("gid AS big_gid"))
+    assert not tracker.getJobIdsForGroup("build")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        frame = keyed_join(left.repartition(16), right, "gid", "left")
+        assert frame.count() == 200_000
+        rows = keyed_join(left.repartition(16), right, "gid", "left").selectExpr("sum(hash(id, gid, v, pad)) AS s")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert joined.count() == 200_000
+
+
+def test_shared_folder_is_asked_for_off_one_machine(spark, monkeypatch):
+    from gridloom import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Session())

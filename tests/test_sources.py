@@ -95,3 +95,42 @@ def test_load_returns_the_rows_written_once(spark, tmp_path):
     path = str(tmp_path / "compact")
     n = load_from_original(I.read_stored_original(spark, SF), path)
     assert n == open_compact(spark, path).count() == 11211
+
+
+def test_feature_files_lose_nothing(spark, tmp_path):
+    from gridloom.sources import geojson as J
+
+    ring = "[[[0,0],[0,10],[10,10],[10,0],[0,0]],[[2,2],[2,4],[4,4],[4,2],[2,2]]]"
+    holed = '{"type":"Feature","id":"a","properties":{},"geometry":{"type":"Polygon","coordinates":%s}}' % ring
+    two = '{"type":"Feature","id":"b","properties":{},"geometry":{"type":"MultiPolygon","coordinates":[%s,%s]}}' % (ring, ring)
+    point = '{"type":"Feature","id":"c","properties":{},"geometry":{"type":"Point","coordinates":[1,2]}}'
+
+    def at(name, text):
+        (tmp_path / name).write_text(text)
+        return str(tmp_path / name)
+
+    whole = at("whole.json", '{"type":"FeatureCollection","name":"n","features":[%s,%s]}' % (holed, two))
+    lines = at("lines.json", '{"type":"FeatureCollection","name":"n","features":[\n%s,\n%s\n]}\n' % (holed, two))
+    for read in (J.read_features(spark, whole), J.read_feature_lines(spark, lines)):
+        got = {r.id: r for r in read.collect()}
+        assert [len(p) for p in got["a"].parts] == [2] and [len(p) for p in got["b"].parts] == [2, 2] and got["a"].ring is None
+    for bad in ("{not json", '{"type":"FeatureCollection","features":[%s]}' % point):
+        with pytest.raises(Exception):
+            J.read_features(spark, at("bad.json", bad)).collect()
+    for bad in (whole, at("odd.json", '{"type":"FeatureCollection","features":[%s,\n%s]}' % (holed, two)), at("x.json", "{oops")):
+        with pytest.raises(Exception):
+            J.read_feature_lines(spark, bad).collect()
+    assert J.read_features(spark, str(tmp_path / "none.json"), missing_ok=True).count() == 0
+    assert J.read_headers(spark, str(tmp_path / "none.json"), missing_ok=True).count() == 0
+    assert J.read_features(spark, whole, file_id="f1").first().file_id == "f1"
+
+
+def test_tied_features_make_valid_json(spark, tmp_path):
+    import json
+
+    from gridloom.sources import geojson as J
+
+    rows = spark.createDataFrame([(k // 3, k % 2, [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (0.0, 0.0)]) for k in range(6)], "gid long, k long, ring array<struct<x:double,y:double>>")
+    J.write_feature_collection(rows, str(tmp_path / "c"), order_by=["gid"], properties=["k"], id_column="gid")
+    text = "\n".join(p.read_text() for p in sorted((tmp_path / "c").glob("part-*")))
+    assert len(json.loads(text)["features"]) == 6
