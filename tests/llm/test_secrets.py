@@ -1,0 +1,97 @@
+"""Secret spans against plain patterns, and structures built here."""
+
+import base64
+import hashlib
+import json
+import re
+
+from gridloom.llm import secrets as S
+
+
+def der(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x80 | (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag]) + size + body
+
+
+KEY = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01") + der(5, b"")) + der(4, bytes(range(1, 150))))
+
+
+def field(b):
+    return len(b).to_bytes(4, "big") + b
+
+
+OPENSSH = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"pub" * 9) + field(b"priv" * 20)
+
+
+def b64(x):
+    return base64.b64encode(x).decode()
+
+
+def token(header, payload=None):
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    return f"{part(header)}.{part(payload or {'sub': 'someone', 'n': 1})}.c2lnbmF0dXJl"
+
+
+def test_structures_are_confirmed():
+    for text, kind in (
+        (b64(KEY), "key"), (KEY.hex(), "key"), (b64(OPENSSH), "openssh"), (token({"alg": "HS256", "typ": "JWT"}), "jwt"),
+        (f"-----BEGIN PRIVATE KEY-----\n{b64(KEY)[:64]}\n{b64(KEY)[64:]}\n-----END PRIVATE KEY-----", "key"),
+    ):
+        spans = [s for s in S.find_secrets(f"see {text} here") if s[0] not in S.BASE_KINDS]
+        assert spans == [(kind, 4, 4 + len(text))], (text, spans)
+
+
+def test_what_only_looks_like_it_is_left():
+    for text in (
+        b64(KEY[:-3]), b64(KEY + b"xx"), KEY[:-1].hex(), b64(OPENSSH[:-2]), token({"typ": "JWT"}), "ab.cd.ef", b64(bytes(range(200))),
+        "eyJub3QganNvbg.eyJub3QganNvbg.x", "M" * 60, "",
+    ):
+        assert not [s for s in S.find_secrets(text) if s[0] not in S.BASE_KINDS], text
+
+
+ASSIGN = re.compile(
+    r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"""
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def plain(text):
+    text = text or ""
+    found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found, key=lambda s: (s[1], S.BASE_KINDS.index(s[0])))
+
+
+HARD = [
+    "token: token: abcdefgh1", "TOKEN='AAAA.BBBB=='", "PassWord = \"x\" password:12345678", "api_key=api_key=12345678", "toKen=12345678",
+    "paſsword=12345678", "AKIAAKIA AKIA0123456789AB", "secret==abcdefgh", "😀 passwd: été passwd: abcdefgh", "f" * 31 + " " + "0f" * 16,
+]
+
+
+def test_base_spans_equal_plain_patterns(docs, sample):
+    texts = HARD + [r.text for r in docs.collect()] + [r.text for r in sample.collect()]
+    for text in texts:
+        assert S.base_spans(text or "") == plain(text), text
+
+
+def test_rows(docs, nothing):
+    joined = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    got = S.scan_secrets(docs).collect()
+    want = []
+    for r in docs.collect():
+        p = plain(r.text)
+        n = [sum(s[0] == k for s in p) for k in S.BASE_KINDS]
+        want.append((r.doc_id, *n, hashlib.sha256(joined(p).encode()).hexdigest(), joined(S.find_secrets(r.text))))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert S.scan_secrets(nothing).count() == 0
+
+
+def test_redaction(docs, nothing):
+    text = f'a token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" b {b64(KEY)} c'
+    assert S.redact(text) == 'a [SECRET]" b [SECRET] c' and S.redact(None) is None and S.redact("") == ""
+    out = S.redact_documents(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert sum("[SECRET]" in (r.text or "") for r in out.collect()) == 1
+    assert S.redact_documents(nothing).count() == 0
