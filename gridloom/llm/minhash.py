@@ -176,7 +176,7 @@ def near_duplicates(
     classes = able.groupBy("digest").agg(F.min("id").alias("rep"))
     reps = staged(
         able.join(classes.withColumnRenamed("digest", "d"), (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("d")), "left_semi")
-        .select("id", "n", "sig", "digest"), "minhash-classes",
+        .select("id", "n", "sig", "digest").dropDuplicates(["id", "digest"]), "minhash-classes",
     )
 
     posted = reps.select("id", F.explode("sig").alias("val"))
