@@ -22,7 +22,8 @@ HEADLINE = os.environ.get("BENCH_QUERIES", "").split() or [
     "pyramid", "level_totals", "compact_encode", "name_to_gid", "gid_to_name", "point_to_cell", "latlon_to_cell",
     "geouri_to_cell", "geohash", "resolve_point", "locate_points", "locate_bbox", "nearest_cell", "containment_join",
     "containment_pairs", "descendants", "rebuild_original", "rebuild_quadrant", "rebuild_vs_original", "check_names",
-    "dissolve", "level_counts", "schema_check", "table_diff", "compact_store",
+    "dissolve", "level_counts", "schema_check", "table_diff", "compact_store", "check_geometry", "edge_rate", "naming_violations",
+    "search_original", "ring_area", "ring_centroid", "cell_polygon_latlon", "geojson_features", "geojson_read", "stream_enrich",
 ]
 
 

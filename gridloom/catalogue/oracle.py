@@ -299,6 +299,8 @@ fx_nx AS (SELECT src, name, side, CAST(rpad(e, 7, '0') AS BIGINT) AS x,
 FROM (SELECT 3 AS ok FROM fx_original) s UNION ALL SELECT 'faulty', count(*), CAST(sum(ok) AS BIGINT), sum(ok) = 3 * count(*)
 FROM (SELECT 3 - CASE WHEN pop % 11 = 0 THEN 1 ELSE 0 END AS ok FROM fx_original) f""")
     q["snap_ij"] = _w(_XYL, "SELECT event_id, CAST(level AS BIGINT) AS level, (x - 2800000) // s AS i, (y - 7350000) // s AS j, CAST(s AS BIGINT) AS size FROM fx_l")
+    q["ij_to_ref"] = _w(_XYL, """SELECT event_id, CAST(level AS BIGINT) AS level, 2800000 + ((x - 2800000) // s) * s AS x,
+  7350000 + ((y - 7350000) // s) * s + CASE WHEN s = 200 THEN 200 ELSE 0 END AS y, CAST(s AS BIGINT) AS size FROM fx_l""")
     q["snap_ref"] = _w(_XYL, """SELECT event_id, CAST(level AS BIGINT) AS level, 2800000 + ((x - 2800000) // s) * s AS x_ref,
   7350000 + ((y - 7350000) // s) * s + CASE WHEN s = 200 THEN 200 ELSE 0 END AS y_ref FROM fx_l""")
     q["snap_center"] = _w(_XYL, """SELECT event_id, CAST(level AS BIGINT) AS level, 2800000 + ((x - 2800000) // s) * s + s // 2 AS cx,
@@ -336,6 +338,9 @@ fx_ul AS (SELECT *, CASE WHEN u IS NULL THEN 5 WHEN 2*u < 500 THEN 6 WHEN 2*u <
         f"SELECT event_id, geo_uri, u, {gid_any('x', 'y', 'level')} AS gid, {gid('x', 'y', 5)} AS gid_default FROM fx_ul")
     q["geohash"] = _w(URI + "," + URI_XY, f"SELECT event_id, geo_uri, {geohash('lat', 'lon')} AS geohash FROM fx_p")
     q["cell_polygon"] = _w(CELLS, f"SELECT gid, {square_wkt('cx', 'cy', '(side // 2)')} AS wkt FROM fx_cells")
+    q["cells_by_name"] = _w(CELLS, f"""SELECT gid, {square_wkt('cx', 'cy', '(side // 2)')} AS wkt, CAST(cx AS DOUBLE) AS x, CAST(cy AS DOUBLE) AS y FROM fx_cells""")
+    q["geometry_parts"] = _w(CELLS, """SELECT gid, 2.0::DOUBLE * 200 * 200 - 40 * 40 AS area, false AS holds_middle, true AS holds_inner, true AS holds_second,
+  (200.0::DOUBLE * 200 - 40 * 40) / 2 AS west_half FROM fx_cells""")
     ring = CELLS + f""",
 fx_v AS (SELECT gid, CAST(v.ord AS BIGINT) AS ord, cx + v.dx * (side // 2) AS px, cy + v.dy * (side // 2) AS py FROM fx_cells, {_CORNERS})"""
     q["cell_center_point"] = _w(CELLS + "," + ALBERS + ", fx_c AS (SELECT gid, cx AS px, cy AS py FROM fx_cells)," + inverse("fx_c", "fx_ll"),
@@ -382,6 +387,12 @@ fx_ll AS (SELECT src, event_id, geo_uri, CAST(regexp_extract(geo_uri, '{_RE_URI}
   {name('x', 'y', 5)} AS name_l5, {q_text(quadrant('x', 'y'))} AS quadrant, {geohash('lat', 'lon')} AS geohash,
   CAST(c.pop AS BIGINT) AS pop, CAST(c.dom_ocu AS BIGINT) AS dom_ocu, c.pop_fem_perc, 100 - c.pop_fem_perc AS pop_masc_perc
 FROM fx_p LEFT JOIN fx_compact c ON c.gid = {gid('x', 'y', 5)}""")
+    q["resolve_json"] = _w(resolve, f"""SELECT event_id, geo_uri, '{{"cell_L0_gid":' || {gid('x', 'y', 0)} || ',"cell_quadrante":"' || {q_text(quadrant('x', 'y'))}
+  || '","cell_L5_gid":' || {gid('x', 'y', 5)} || ',"cell_L0":"' || {name('x', 'y', 0)} || '","cell_L5":"' || {name('x', 'y', 5)}
+  || '","geohash":"' || {geohash('lat', 'lon')} || '","cell_L5_censo2010":' || CASE WHEN c.pop IS NULL THEN 'null' ELSE
+  '{{"pop":' || c.pop || ',"dom_ocu":' || c.dom_ocu || ',"pop_fem_perc":' || c.pop_fem_perc || ',"pop_masc_perc":' || (100 - c.pop_fem_perc) || '}}' END
+  || '}}' AS document
+FROM fx_p LEFT JOIN fx_compact c ON c.gid = {gid('x', 'y', 5)} WHERE src = 'grid'""")
     # six digits leave a cell of about 1 km by 0.6 km at these latitudes, so level 5 is the level of like size
     hashed = resolve.rsplit("fx_all AS (", 1)[0] + f"""
 fx_all AS (SELECT event_id, CAST(CAST(round(lat, 6) AS DECIMAL(9,6)) AS DOUBLE) AS lat0, CAST(CAST(round(lon, 6) AS DECIMAL(9,6)) AS DOUBLE) AS lon0 FROM fx_pll),
@@ -415,6 +426,9 @@ fx_near AS (SELECT event_id, level,
   THEN CAST(x_near - 100 AS VARCHAR) || lpad(CAST(y_near + 100 AS VARCHAR), 8, '0') || '6'
   ELSE CAST(x_near - 500 AS VARCHAR) || lpad(CAST(y_near - 500 AS VARCHAR), 8, '0') || '5' END AS BIGINT) AS gid FROM fx_near""")
 
+    q["nearest_uri"] = q["nearest_cell"].replace(XY, URI_U + "," + URI_XY + """,
+fx_xy AS (SELECT event_id, x, y FROM fx_p WHERE x IS NOT NULL AND y IS NOT NULL)""")
+
     # ---- verification and quality
     q["check_names"] = _w(_FAULTY, f"""SELECT id_unico, id_unico = CASE WHEN side = 200 THEN t6 ELSE t5 END AS is_unico, {_FLAGS}
 FROM fx_faulty WHERE gid % 13 <> 0""")

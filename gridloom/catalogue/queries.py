@@ -140,6 +140,12 @@ def snap_ij(spark, sf_dir):
     return big(staged.select("event_id", "level", "s.*"))
 
 
+@query
+def ij_to_ref(spark, sf_dir):
+    ij = _all_levels(spark, sf_dir).select("event_id", "level", G.xy_level_to_ij("x", "y", "level").alias("s")).select("event_id", "level", "s.*")
+    return big(ij.select("event_id", "level", G.ij_to_ref("i", "j", "size").alias("r")).select("event_id", "level", "r.*"))
+
+
 @query
 def snap_ref(spark, sf_dir):
     staged = _all_levels(spark, sf_dir).select("event_id", "level", G.snap_ref("x", "y", "level").alias("s"))
@@ -248,6 +254,32 @@ def cell_polygon(spark, sf_dir):
     return I.stored_cells(spark, sf_dir).select("gid", G.square_wkt("gid").alias("wkt"))
 
 
+@query
+def cells_by_name(spark, sf_dir):
+    o = I.read_stored_original(spark, sf_dir)
+    staged = o.select("gid", G.named_cell_ring("id_unico").alias("ring"), G.named_cell_center_point("id_unico").alias("c"))
+    return staged.select("gid", G.ring_to_wkt("ring").alias("wkt"), "c.x", "c.y")
+
+
+@query
+def geometry_parts(spark, sf_dir):
+    """Each cell with its middle fifth cut out, and a second part one kilometre to the east."""
+    o = I.stored_cells(spark, sf_dir).select("gid", G.center_x("gid").alias("cx"), G.center_y("gid").alias("cy"))
+
+    def square(x, half):
+        xs, ys = (f"{x} - {half}", f"{x} + {half}"), (f"cy - {half}", f"cy + {half}")
+        corners = [(0, 0), (0, 1), (1, 1), (1, 0), (0, 0)]
+        return "concat('(', " + ", ',', ".join(f"string({xs[i]}), ' ', string({ys[j]})" for i, j in corners) + ", ')')"
+
+    wkt = f"concat('MULTIPOLYGON((', {square('cx', '100')}, ',', {square('cx', '20')}, '),(', {square('(cx + 1000)', '100')}, '))')"
+    p = o.selectExpr("gid", "cx", "cy", f"{G.wkt_to_parts.sql(wkt)} AS p")
+    return p.select(
+        "gid", G.parts_area("p").alias("area"), G.parts_contain("p", "cx", "cy").alias("holds_middle"),
+        G.parts_contain("p", "cx + 50", "cy + 50").alias("holds_inner"), G.parts_contain("p", "cx + 1000", "cy").alias("holds_second"),
+        G.parts_area(G.clip_parts.sql("p", "cx - 100", "cy - 100", "cx", "cy + 100")).alias("west_half"),
+    )
+
+
 @query
 def cell_center_point(spark, sf_dir):
     staged = I.stored_cells(spark, sf_dir).select(
@@ -370,6 +402,12 @@ def resolve_point(spark, sf_dir):
     return _resolved(resolve.resolve_uris(points, _compact(spark, sf_dir)), "src", "event_id")
 
 
+@query
+def resolve_json(spark, sf_dir):
+    resolved = resolve.resolve_uris(I.point_uris(spark, sf_dir), _compact(spark, sf_dir))
+    return resolved.select("event_id", "geo_uri", resolve.resolution_json().alias("document"))
+
+
 @query
 def resolve_name(spark, sf_dir):
     return big(resolve.resolve_names(_names(spark, sf_dir), _compact(spark, sf_dir)).select("src", "name", "gid", *_CENSUS))
@@ -408,6 +446,15 @@ def nearest_cell(spark, sf_dir):
     return big(_near(spark, sf_dir, nearest.nearest_cell).select("event_id", "level", "gid"))
 
 
+@query
+def nearest_uri(spark, sf_dir):
+    def find(points, x_axis, y_axis):
+        uris = I.uris(spark, sf_dir, uncertainty=True).selectExpr("*", "explode(array(5, 6)) AS level")
+        return nearest.nearest_cell_of_uris(uris, x_axis, y_axis)
+
+    return big(_near(spark, sf_dir, find).select("event_id", "level", "gid"))
+
+
 # ------------------------------------------------------------------ verification and quality
 
 @query

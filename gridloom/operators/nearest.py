@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import center_to_gid, center_x, center_y, gid_level, level_to_size
 from gridloom.functions.levels import ORIGIN_X, ORIGIN_Y, ROOT_SPAN, SIDES
+from gridloom.operators.points import with_latlon, with_xy
 
 
 def axis_values(cells: DataFrame, axis: str) -> DataFrame:
@@ -69,6 +70,12 @@ def nearest_center(points: DataFrame, x_axis: DataFrame, y_axis: DataFrame) -> D
     return _nearest(_nearest(points, x_axis, "x", ORIGIN_X), y_axis, "y", ORIGIN_Y)
 
 
+def nearest_cell_of_uris(points: DataFrame, x_axis: DataFrame, y_axis: DataFrame, uri: str = "geo_uri") -> DataFrame:
+    """As ``nearest_cell`` for points given as GeoURIs and ``level``; rows whose URI is malformed drop out."""
+    placed = with_xy(with_latlon(points, uri)).where("x IS NOT NULL AND y IS NOT NULL")
+    return nearest_cell(placed, x_axis, y_axis)
+
+
 def nearest_cell(points: DataFrame, x_axis: DataFrame, y_axis: DataFrame) -> DataFrame:
     """As ``nearest_center`` with the key of the cell centred there."""
     return nearest_center(points, x_axis, y_axis).withColumn("gid", center_to_gid("x_near", "y_near", "level"))

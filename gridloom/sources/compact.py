@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,5 +47,22 @@ def write_compact(compact: DataFrame, path: str, mode: str = "overwrite") -> int
     return seen.get["rows"]
 
 
+def write_version(compact: DataFrame, folder: str) -> str:
+    """Store the grid as a new version under ``folder`` and return its path; older ones stay for who reads them."""
+    path = f"{folder.rstrip('/')}/version-{time.time_ns():020d}"
+    write_compact(compact, path, mode="errorifexists")
+    return path
+
+
+def current_version(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest whole version under ``folder``: one whose write was committed."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/version-*/_SUCCESS")
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+    paths = sorted(s.getPath().getParent().toString() for s in found or ())
+    if not paths:
+        raise ValueError(f"no version of the grid in {folder}")
+    return read_compact(spark, paths[-1])
+
+
 def read_compact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COMPACT_SCHEMA + ", level INT").parquet(path)
