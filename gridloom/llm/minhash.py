@@ -12,9 +12,10 @@ pairs that met.
 
 A list of k classes is not spread into its k^2 pairs. First every class is checked against the list's pivot, its class
 with the most shared values, which is the original where copies were made from one text. Then only lists that still
-hold several components are left. Their pairs are looked at in squares of at most about ``SIDE`` by ``SIDE`` classes, and those
-are kept that lie in different components, agree in enough coordinates, and may reach the level at all: the common part
-is at most what either shares with any class left. What remains is compared on full sets, so that links are exact.
+hold several components are left. Their pairs are looked at in squares of about ``SIDE`` by ``SIDE`` classes, each pair in one
+list, and those compared on full sets that lie in different components, agree in enough coordinates, and may reach the
+level at all: the common part is at most what either shares with any class left. A square gives no more links than
+join its components.
 """
 
 from __future__ import annotations
@@ -128,20 +129,36 @@ def _linked(pairs: DataFrame, sets: DataFrame, level: int) -> DataFrame:
     return met.where(F.lit(100) * F.col("both") >= F.lit(level) * (F.size("set_a") + F.size("set_b") - F.col("both"))).select("a", "b")
 
 
-def _pairs_in_squares(members: DataFrame, matches: int, level: int, side: int) -> DataFrame:
-    """Pairs (a, b) of list members (val, n, id, component, size, shared, sig) that may be linked."""
+def _links_in_squares(members: DataFrame, matches: int, level: int, side: int) -> DataFrame:
+    """Links (a, b) between components among list members (val, n, id, component, size, shared, own, sig, shingles).
+
+    A pair is looked at in one list alone: of the lists both stand in (``own`` has a bit for the coordinate of each)
+    that of the first coordinate they agree in. Of the links of a square as many come out as join its components.
+    """
     parts = F.ceil(F.col("n") / F.lit(side)).cast("int")
     dealt = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    squares = dealt.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    ).select("val", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "component", "size", "shared", "sig")
+    columns = ["val", "part", "id", "component", "size", "shared", "own", "sig", "shingles"]
+    squares = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        *columns, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
+    )
     id_type = dict(members.dtypes)["id"]
 
     def run(square: pa.Table) -> pa.Table:
         ids, comp = square["id"].to_numpy(), square["component"].to_numpy()
-        n, shared, part = (square[c].to_numpy() for c in ("size", "shared", "part"))
+        n, shared, part, own = (square[c].to_numpy() for c in ("size", "shared", "part", "own"))
         sig = square["sig"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-        i, j = square["i"][0].as_py(), square["j"][0].as_py()
+        posted = (own[:, None] >> np.arange(sig.shape[1])) & 1 == 1
+        lists = square["shingles"].combine_chunks()
+        flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+        begins = ends - np.diff(ends, prepend=0)
+        val, i, j = (square[c][0].as_py() for c in ("val", "i", "j"))
+        root = {}
+
+        def find(c):
+            while c in root:
+                c = root[c]
+            return c
+
         a, b = [], []
         for x in np.flatnonzero(part == i):
             most = np.minimum(shared[x], shared)
@@ -149,13 +166,24 @@ def _pairs_in_squares(members: DataFrame, matches: int, level: int, side: int) -
             if i == j:
                 ok[: x + 1] = False
             at = np.flatnonzero(ok)
-            at = at[(sig[at] == sig[x]).sum(axis=1) >= matches]
-            a.append(np.full(len(at), ids[x], ids.dtype))
-            b.append(ids[at])
-        a, b = np.concatenate(a) if a else ids[:0], np.concatenate(b) if b else ids[:0]
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+            agree = sig[at] == sig[x]
+            first = (agree & posted[at] & posted[x]).argmax(axis=1)
+            at = at[(agree.sum(axis=1) >= matches) & (sig[x][first] == val)]
+            if not len(at):
+                continue
+            mine = np.sort(flat[begins[x] : ends[x]])
+            theirs = np.concatenate([flat[begins[k] : ends[k]] for k in at])
+            hit = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+            both = np.add.reduceat(hit, np.cumsum(n[at]) - n[at])
+            for k in at[100 * both >= level * (n[x] + n[at] - both)]:
+                c, d = find(comp[x]), find(comp[k])
+                if c != d:
+                    root[c] = d
+                    a.append(min(ids[x], ids[k]))
+                    b.append(max(ids[x], ids[k]))
+        return pa.table({"a": pa.array(a, square.schema.field("id").type), "b": pa.array(b, square.schema.field("id").type)})
 
-    return squares.groupBy("val", "i", "j").applyInArrow(run, f"a {id_type}, b {id_type}").distinct()
+    return squares.groupBy("val", "i", "j").applyInArrow(run, f"a {id_type}, b {id_type}")
 
 
 def near_duplicates(
@@ -179,14 +207,14 @@ def near_duplicates(
         .select("id", "n", "sig", "digest").dropDuplicates(["id", "digest"]), "minhash-classes",
     )
 
-    posted = reps.select("id", F.explode("sig").alias("val"))
+    posted = reps.select("id", F.posexplode("sig").alias("pos", "val"))
     shared = posted.groupBy("val").agg(F.count("*").alias("f")).where("f > 1")
-    first = F.sort_array(F.collect_list(F.struct("f", "val")))
+    first = F.sort_array(F.collect_list(F.struct("f", "val", "pos")))
     prefixes = (
         posted.join(shared, "val").groupBy("id").agg(first.alias("common"), F.sum(F.log2("f")).alias("weight"))
         .where(F.size("common") >= matches)
         .select("id", "weight", F.explode(F.slice("common", 1, F.size("common") - F.lit(matches - 1))).alias("c"))
-        .select("id", "weight", F.col("c.val").alias("val"))
+        .select("id", "weight", F.col("c.val").alias("val"), F.col("c.pos").alias("pos"))
     )
     prefixes = staged(prefixes, "minhash-prefixes")
     # Lists of the same members say the same; one of them stays.
@@ -195,14 +223,15 @@ def near_duplicates(
         F.max(F.struct("weight", (-F.col("id")).alias("least"), "id")).getField("id").alias("pivot"),
     ).where("n > 1")
     lists = lists.groupBy("n", "x", "y", "pivot").agg(F.min("val").alias("val")).select("val", "n", "pivot")
-    members = staged(prefixes.select("id", "val").join(lists, "val"), "minhash-lists")
+    members = staged(prefixes.select("id", "val", "pos").join(lists, "val"), "minhash-lists")
 
     met = members.where("id != pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     sig = lambda name: reps.select(F.col("id").alias(name), F.col("sig").alias(f"sig_{name}"))
     agree = F.size(F.array_intersect("sig_a", "sig_b"))
     stars = staged(met.join(sig("a"), "a").join(sig("b"), "b").where(agree >= matches).select("a", "b"), "minhash-stars")
 
-    wanted = members.select("id").distinct()
+    # Sorted and merged at any size: a small list of ids would be broadcast, and the plan would change as it grows.
+    wanted = members.select("id").distinct().hint("merge")
     # A row that repeats an id may carry another text: the class's own set is the one whose digest it has.
     sets = staged(
         _full_sets(texts.where("id is not null").join(wanted, "id", "left_semi"), size).dropDuplicates(["id"]), "minhash-sets"
@@ -218,8 +247,11 @@ def near_duplicates(
     each = own.select("id", F.explode("shingles").alias("shingle"))
     again = each.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1").select("shingle")
     sharing = each.join(again, "shingle").groupBy("id").agg(F.count("*").alias("shared"))
-    fit = sharing.join(reps.select("id", F.col("n").alias("size"), "sig"), "id").where(F.lit(100) * F.col("shared") >= F.lit(level) * F.col("size"))
-    more = _linked(_pairs_in_squares(left.join(fit, "id"), matches, level, side), sets, level)
+    fit = (
+        sharing.join(reps.select("id", F.col("n").alias("size"), "sig"), "id").where(F.lit(100) * F.col("shared") >= F.lit(level) * F.col("size"))
+        .join(left.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, pos)")).alias("own")), "id").join(sets, "id")
+    )
+    more = _links_in_squares(left.join(fit, "id"), matches, level, side)
     joined = staged(components(links.unionByName(more)), "minhash-components")
 
     named = reps.select("digest", "id").join(joined, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
