@@ -50,9 +50,11 @@ _NO_NAME = frozenset(
     "notifications alert alerts popup popups modal overlay newsletter subscribe subscription signup signin login register social "
     "share sharing shares related recommended recommendations recirc comment comments commentlist disqus respond reply replies "
     "discussion responses pagination pager toolbar searchform searchbox copyright legal disclaimer skip hidden outbrain taboola "
-    "aside advertorial rail tooltip feedback".split()
+    "aside advertorial rail tooltip feedback side sidecol search talkback reactions werbung anzeige publicidad".split()
 )
 _HEADER_NAME = frozenset("header headers siteheader pageheader".split())
+#: A header that names one of these is the article's own.
+_ARTICLE_NAME = frozenset("article post entry story content section".split())
 _SHELL = frozenset("html body main article".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -122,7 +124,7 @@ class Page:
             out = True
         if not out and self._by_name and tag not in _SHELL and (classes or "id" in given):
             for parts in _names(f"{classes} {given.get('id', '')}"):
-                if parts & _NO_NAME or not in_article and parts & _HEADER_NAME:
+                if parts & _NO_NAME or not in_article and parts & _HEADER_NAME and not parts & _ARTICLE_NAME:
                     out = True
         self.parent.append(up)
         step = ".".join([tag, *sorted(set(re.sub(r"\d+", "9", c.lower()) for c in classes.split()))]) if classes else tag

@@ -65,4 +65,17 @@ QUERIES = {
 }
 
 #: Statements in DuckDB SQL for what SQL can express; the others are tested against brute force.
-STATEMENTS: dict[str, str] = {}
+STATEMENTS = {
+    # A character of base32 is five bits, which lie in two neighbouring hexadecimal digits.
+    "op7_archives": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+  m AS (SELECT h, max(page_id) AS top, sha1(h) AS hex FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (((
+      16 * (instr('0123456789abcdef', substr(hex, CAST(((5 * i) // 4) + 1 AS INTEGER), 1)) - 1)
+      + (instr('0123456789abcdef', substr(hex, CAST(((5 * i) // 4) + 2 AS INTEGER), 1)) - 1)
+    ) >> CAST(3 - ((5 * i) % 4) AS INTEGER)) & 31) AS INTEGER), 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM p JOIN m ON m.h = p.h""",
+}
