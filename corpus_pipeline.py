@@ -23,7 +23,8 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     """Of each group of near-duplicates the document with the least id stays, once; rows without an id all stay."""
     found = minhash.near_duplicates(docs)
     gone = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "pipeline-gone")
-    left = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
+    # Merged at any size, so that the plan does not change as the table grows; rows of an id then lie together anyway.
+    left = docs.where("doc_id is not null").join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
     return left.unionByName(docs.where("doc_id is null"))
 
 
