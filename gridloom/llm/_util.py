@@ -77,6 +77,13 @@ def ready(df: DataFrame) -> SparkSession:
     return spark
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again: lineage is cut, and the planner knows its size."""
     spark = df.sparkSession

@@ -4,7 +4,7 @@ Rules vote good (1), bad (-1) or abstain (0) on each document. How far each rule
 estimated: expectation-maximisation over all documents finds the share of good ones and, for each rule, how it votes on
 good and on bad documents. A document's posterior probability of being good then replaces "all rules must pass".
 
-The rules give at most 3 ** 8 patterns of votes, however many documents there are, so Spark counts patterns, the
+The rules give at most 3 ** 9 patterns of votes, however many documents there are, so Spark counts patterns, the
 estimate works on that small table, and its answer is a table of patterns again. Where some documents have a label, the
 truth of those is not estimated but known; they count like any other, and keep the estimate from mistaking one frequent
 kind of bad document for all of them.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm._util import hashed_words, lowered_chunks, ready, staged
+from gridloom.llm._util import free_name, hashed_words, lowered_chunks, ready, staged
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -37,6 +37,7 @@ RULES = (
     ("length", lambda m: -1 if m["n_words"] < 20 else 1 if m["n_words"] >= 50 else 0),
     ("word_length", lambda m: -1 if not 2.5 <= m["mean"] <= 12 else 1 if 3.5 <= m["mean"] <= 8 else 0),
     ("symbols", lambda m: -1 if m["symbols"] > 0.1 else 1 if m["symbols"] < 0.03 else 0),
+    ("marked_words", lambda m: -1 if m["marked"] > 0.3 else 1 if m["marked"] < 0.1 else 0),
     ("repeats", lambda m: -1 if m["repeats"] > 0.2 else 1 if m["repeats"] < 0.05 else 0),
     ("lines", lambda m: -1 if m["lines"] > 0.3 else 1 if m["lines"] < 0.1 else 0),
     ("capitals", lambda m: -1 if m["capitals"] > 0.4 else 1 if m["capitals"] < 0.15 else 0),
@@ -78,7 +79,10 @@ def _duplicate_lines(text: bytes) -> int:
 def measure(texts):
     """A dictionary of measures and votes for each Arrow string; null and blank texts have no word."""
     for some in lowered_chunks(texts, lower=False):
-        data, space, last, _, of_word, word = hashed_words(some)
+        data, space, last, stop, of_word, word = hashed_words(some)
+        holds = np.zeros(len(word))
+        holds[np.searchsorted(stop, np.flatnonzero(_SYMBOL[data]), "right")] = 1
+        marked = np.bincount(of_word, holds, len(some))
         ends = np.searchsorted(of_word, np.arange(len(some)), "right")
         letters = ~space & ~_CONTINUES[data]
         chars, symbols = np.cumsum(letters), np.cumsum(_SYMBOL[data])
@@ -95,6 +99,7 @@ def measure(texts):
             lines = max(1, text.count(b"\n") + 1)
             m["mean"] = m["word_chars"] / per
             m["symbols"] = m["n_symbols"] / per
+            m["marked"] = marked[i] / per
             m["repeats"] = m["n_repeat_words"] / per
             m["lines"] = m["n_dup_lines"] / lines
             lower, upper = _cases(text, plain)
@@ -130,7 +135,8 @@ def fit(patterns: list[tuple[str, int, int, int]], rounds: int = 200, tolerance:
     """Posterior probability of good for each pattern of votes.
 
     A pattern comes with the number of documents that have it: without a label, labelled good, labelled bad. Rules are
-    taken as independent given the truth. The start says that rules are right in most votes and that three documents in
+    taken as independent given the truth. Documents without a label count no more in all than those with one, so that
+    many of the former do not outvote what is known. The start says that rules are right in most votes and that three documents in
     four are good; each share is smoothed by one document. Without documents nothing is returned.
     """
     patterns = sorted(patterns)
@@ -138,6 +144,9 @@ def fit(patterns: list[tuple[str, int, int, int]], rounds: int = 200, tolerance:
         return {}
     votes = np.array([["b?g".index(v) for v in p] for p, *_ in patterns])
     unknown, known_good, known_bad = np.array([n for _, *n in patterns], float).T
+    known = (known_good + known_bad).sum()
+    if known:
+        unknown = unknown * min(1.0, known / max(1.0, unknown.sum()))
     each = np.arange(votes.shape[1])
     good, says = 0.75, np.empty((2, len(each), 3))
     says[0], says[1] = (0.5, 0.3, 0.2), (0.1, 0.2, 0.7)
@@ -220,5 +229,7 @@ def keep_good_documents(
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     votes = staged(_measured(source, "text", {"votes": "votes"}).drop("text"), "quality-votes")
     good = [(v,) for v, p in _verdicts(votes, labels).items() if p >= least]
-    marked = _measured(docs, text_col, {"base_failed": "_failed", "votes": "_votes"})
-    return marked.where(~F.col("_failed")).join(F.broadcast(spark.createDataFrame(good, "_votes string")), "_votes", "left_semi").drop("_failed", "_votes")
+    failed, own = free_name(docs, "_failed"), free_name(docs, "_votes")
+    marked = _measured(docs, text_col, {"base_failed": failed, "votes": own})
+    right = F.broadcast(spark.createDataFrame(good, f"{own} string"))
+    return marked.where(~F.col(failed)).join(right, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._util import ready, staged
+from gridloom.llm._util import free_name, ready, staged
 
 SHARDS = 16
 #: A group of at least 1 / FINENESS of an even shard is scheduled by itself.
@@ -53,12 +53,13 @@ def assign_shards(rows: DataFrame, size: str, group: str, shards: int = SHARDS,
     units = [((0, k), n) for _, k, n in large] + [((1, r["bundle"]), r["size"]) for r in small.collect()]
     placed = longest_first(units, shards)
     # Both tables are bounded by the parameters, whatever the input: shards * fineness rows, and bundles rows.
-    alone = spark.createDataFrame([(k[1], s) for k, s in placed.items() if k[0] == 0], "_key string, _alone int")
-    bundled = spark.createDataFrame([(k[1], s) for k, s in placed.items() if k[0] == 1], "_bundle long, _bundled int")
+    k, b, own, other = (free_name(rows, n) for n in ("_key", "_bundle", "_alone", "_bundled"))
+    alone = spark.createDataFrame([(x[1], s) for x, s in placed.items() if x[0] == 0], f"{k} string, {own} int")
+    bundled = spark.createDataFrame([(x[1], s) for x, s in placed.items() if x[0] == 1], f"{b} long, {other} int")
     return (
-        rows.withColumn("_key", key).withColumn("_bundle", bundle)
-        .join(F.broadcast(alone), "_key", "left").join(F.broadcast(bundled), "_bundle", "left")
-        .withColumn("shard", F.coalesce("_alone", "_bundled")).drop("_key", "_bundle", "_alone", "_bundled")
+        rows.withColumn(k, key).withColumn(b, bundle)
+        .join(F.broadcast(alone), k, "left").join(F.broadcast(bundled), b, "left")
+        .withColumn("shard", F.coalesce(own, other)).drop(k, b, own, other)
     )
 
 
