@@ -16,7 +16,9 @@ import hashlib
 import json
 import mmap
 import re
+import sys
 import uuid
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._util import ready
+from gridloom.llm._util import ready, staged
 from gridloom.llm.merging import NEVER, Cache, merge_symbols
 from gridloom.session import shared_folder
 
@@ -33,6 +35,8 @@ LEXICON = 50_000
 #: The vocabulary file's pattern as it reads on printable ASCII without spaces.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _MAGIC = b"GLLEX001"
+# Numbers in the file and in results are little-endian and of 32 bits, and are read and written as the machine has them.
+assert sys.byteorder == "little" and array("I").itemsize == 4
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -148,7 +152,7 @@ class WordTokenizer:
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.lexicon = lexicon
-        self.piece = Cache(self._piece)
+        self.piece, self.word = Cache(self._piece, 700_000), Cache(self._word, 250_000)
 
     def merged(self, word: str) -> list[int]:
         """Ids of one pre-token by merging."""
@@ -156,26 +160,30 @@ class WordTokenizer:
         rank = self.rank.get
         return [self.vocab[s] for s in merge_symbols(symbols, lambda a, b: rank((a, b), NEVER))]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one pre-token, from the lexicon or by merging, as little-endian 32-bit numbers."""
+        return array("I", (self.lexicon and self.lexicon.get(word)) or self.merged(word)).tobytes()
+
     def pre_tokens(self, piece: str) -> list[str]:
         if piece.isascii() and piece.isprintable():
             return _ASCII.findall(piece.lower())  # its own normal form, where the byte alphabet is plain text
         return [w for w, _ in self.split(self.normalize(piece))]
 
-    def encode_piece(self, piece: str) -> list[int]:
+    def encode_piece(self, piece: str) -> bytes:
         """Ids of text without ASCII white space."""
+        if not (self._special and self._special.search(piece)):
+            return b"".join(map(self.word.__getitem__, self.pre_tokens(piece)))
         out = []
-        parts = self._special.split(piece) if self._special and any(s in piece for s in self.special) else [piece]
-        for part in parts:
+        for part in self._special.split(piece):
             if part in self.special:
-                out.append(self.special[part])
-                continue
-            for word in self.pre_tokens(part) if part else ():
-                out += (self.lexicon and self.lexicon.get(word)) or self.merged(word)
-        return out
+                out.append(array("I", [self.special[part]]).tobytes())
+            elif part:
+                out += map(self.word.__getitem__, self.pre_tokens(part))
+        return b"".join(out)
 
     def _piece(self, piece: bytes) -> tuple[bytes, str | None]:
         ids = self.encode_piece(piece.decode("utf-8", "surrogatepass"))
-        return np.array(ids, "<u4").tobytes(), self.decode(ids) if ids else None
+        return ids, self.decode(memoryview(ids).cast("I")) if ids else None
 
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids of a text as little-endian 32-bit numbers, and the text they decode to."""
@@ -202,9 +210,20 @@ def count_pieces(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON) -> bytes:
-    """The automaton of the most frequent words of all texts; ``words`` bounds it and what comes to the driver."""
+    """The automaton of the most frequent words of all texts; ``words`` bounds it and what comes to the driver.
+
+    How often counts stand tells from which count on there are no more than ``words`` pieces; those are fetched. A sort
+    with a limit would send as many from every task.
+    """
     tokenizer, count = WordTokenizer(tokenizer_path), Counter()
-    for row in count_pieces(docs, text_col).orderBy(F.desc("n"), "piece").limit(words).collect():
+    counted = staged(count_pieces(docs, text_col), "piece-counts")
+    least, room = None, words
+    for row in counted.groupBy("n").agg(F.count("*").alias("pieces")).orderBy(F.desc("n")).collect():
+        room -= row["pieces"]
+        if room < 0:
+            break
+        least = row["n"]
+    for row in counted.where(F.col("n") >= least).collect() if least is not None else ():
         for word in tokenizer.pre_tokens(bytes(row["piece"]).decode("utf-8", "surrogatepass")):
             count[word] += row["n"]
     best = sorted(count, key=lambda w: (-count[w], w))[:words]
