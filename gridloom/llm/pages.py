@@ -2,7 +2,8 @@
 
 A page is read once into blocks of text and the containers they lie in. Containers that are no article by their tag,
 role or class (menus, footers, adverts, comments and the like) are out; among the others a page proposes the innermost
-one that still holds nearly all of the text, scored by that text. Its path of tags and classes, with numbers generalised,
+one that still holds nearly all of the text, scored by that text. An article is never narrowed down, and ``main`` only to
+what holds all of its text that is no link. The container's path of tags and classes, with numbers generalised,
 is the page's vote. Spark counts votes per host, with partial sums before the shuffle, and the path with the most votes
 is the host's. In a second pass a page gives the text of the containers with its host's path, or of its own proposal if
 it has none.
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm._util import ready, staged
 
-#: A container must hold so much of its parent's text to be preferred to it.
+#: Outside of an article a container must hold so much of its parent's text, and of the page's, to be preferred to it.
 HOLDS = 0.8
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
@@ -90,6 +91,7 @@ class Page:
     def __init__(self, source: str, by_name: bool = True):
         # Of each element: parent, path, whether its text is out, whether it may be proposed.
         self.parent, self.path, self.out, self.fit, self.tag, self.inside = [-1], [""], [False], [False], [""], [False]
+        self.article = [False]
         self.blocks: list[tuple[int, str, int]] = []
         self._stack, self._text, self._linked, self._anchor = [0], [], 0, False
         self._by_name = by_name
@@ -131,6 +133,7 @@ class Page:
         self.path.append(f"{self.path[up]}>{step}")
         self.out.append(out)
         self.inside.append(in_article or tag in ("article", "main"))
+        self.article.append(self.article[up] or tag == "article")
         self.fit.append(tag in _CONTAINERS)
         self.tag.append(tag)
         self._stack.append(len(self.parent) - 1)
@@ -211,21 +214,58 @@ class Page:
             total[self.parent[e]] += total[e]
         return total
 
+    def plain(self) -> list[int]:
+        """Of each element, how much text that is no link is in it and below."""
+        total = [0] * len(self.parent)
+        for owner, text, linked in self.blocks:
+            total[owner] += max(0, len(text) - linked)
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parent[e]] += total[e]
+        return total
+
     def proposal(self) -> tuple[int, float]:
-        """The innermost container that holds nearly all of what its parents hold, and its score."""
-        total = self.totals()
+        """The innermost container that holds nearly all of the text and leaves no part of an article behind; its score.
+
+        Beside it may stand, outside of an article or main, containers of their own with little text and no h1, and
+        inside of main links alone. The tags article and main leave behind what is around them.
+        """
+        total, plain = self.totals(), self.plain()
         children: dict[int, list[int]] = {}
-        for e in range(1, len(total)):
+        own, titled = [0] * len(total), [False] * len(total)
+        for owner, text, linked in self.blocks:
+            own[owner] += max(0, len(text) - linked)
+        for e in range(len(total) - 1, 0, -1):
             if total[e] > 0:
                 children.setdefault(self.parent[e], []).append(e)
+                titled[e] = titled[e] or self.tag[e] == "h1"
+                titled[self.parent[e]] |= titled[e]
         best = at = 0
-        while at in children:
-            top = max(children[at], key=total.__getitem__)
+        while at in children and not self.article[at]:
+            top = max(reversed(children[at]), key=total.__getitem__)
             if total[top] < HOLDS * total[best] or not self.fit[top]:
                 break
+            if self.inside[at]:
+                if plain[top] < plain[at]:
+                    break
+            elif self.tag[top] not in ("article", "main"):
+                beside = [e for e in children[at] if e != top and plain[e] > 0]
+                if total[top] < HOLDS * total[0] or own[at] or any(titled[e] or not self.fit[e] for e in beside):
+                    break
             best = at = top
         return best, total[best]
 
+    def whole(self, chosen: set[int]) -> set[int]:
+        """For each element the article it lies in, or what part of main holds more text than it that is no link."""
+        plain, out = self.plain(), set()
+        for e in chosen:
+            up = e
+            while self.inside[self.parent[up]] if up else False:
+                up = self.parent[up]
+                if self.article[up] or plain[up] > plain[e]:
+                    e = up
+            out.add(e)
+        return out
+
     def text_of(self, chosen: set[int]) -> str:
         """Blocks below any of the elements, in page order."""
         inside = [False] * len(self.parent)
@@ -244,7 +284,7 @@ def extract(source: str | None, path: str | None) -> str:
     """Main text of a page, given the path its host agreed on."""
     page = read_page(source)
     chosen = {e for e, p in enumerate(page.path) if p == path and not page.out[e]} if path else set()
-    return (page.text_of(chosen) if chosen else "") or page.text_of({page.proposal()[0]})
+    return (page.text_of(page.whole(chosen)) if chosen else "") or page.text_of({page.proposal()[0]})
 
 
 def _host(url):

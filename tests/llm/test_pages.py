@@ -44,3 +44,22 @@ def test_a_host_agrees_on_a_path(spark):
     assert ("9", short) in got and ("0", " ".join(long.split())) in got and got.count(("10", "")) == 2 and ("None", "") in got
     assert all(r.n_chars == len(r.text) for r in G.extract_pages(pages).collect())
     assert G.extract_pages(pages.where("page_id < 0")).count() == 0
+
+
+LEAD, BODY, NOTE = "a lead of some words", "many words of the story " * 30, "a closing note"
+PARTS = "<h1>Head</h1><p>{0}</p><div class=body><div class=inner><p>{1}</p></div><p>{2}</p></div><p>{2}</p>".format(LEAD, BODY, NOTE)
+WHOLE = "\n\n".join(["Head", LEAD, BODY.strip(), NOTE, NOTE])
+
+
+def test_parts_of_an_article_beside_its_body_stay(spark):
+    for page in (
+        f"<body><div>some site</div><article>{PARTS}</article></body>",
+        f"<body><div>some site</div><main><div><a href=x>home</a></div><div class=story>{PARTS}</div></main></body>",
+        f"<body><div>some site</div><div class=story>{PARTS}</div></body>",
+    ):
+        assert G.extract(page, None) == WHOLE
+    # Most pages of the host have nothing beside the body; the one that has does not lose it.
+    plain = f"<main><div class=body><p>{BODY}</p></div></main>"
+    rows = [(i, "http://h.example/", plain) for i in range(5)] + [(9, "http://h.example/", f"<main>{PARTS}</main>")]
+    got = {r.page_id: r.text for r in G.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[9] == WHOLE and got[0] == BODY.strip()
