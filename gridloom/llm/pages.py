@@ -3,7 +3,7 @@
 A page is read once into blocks of text and the containers they lie in. Containers that are no article by their tag,
 role or class (menus, footers, adverts, comments and the like) are out; among the others a page proposes the innermost
 one that still holds nearly all of the text, scored by that text. An article is never narrowed down, and ``main`` only to
-what holds all of its text that is no link. The container's path of tags and classes, with numbers generalised,
+what holds all of its text that is no link. A name that may be chrome or not (search, related) does not rule out prose. The container's path of tags and classes, with numbers generalised,
 is the page's vote. Spark counts votes per host, with partial sums before the shuffle, and the path with the most votes
 is the host's. In a second pass a page gives the text of the containers with its host's path, or of its own proposal if
 it has none.
@@ -53,6 +53,22 @@ _NO_NAME = frozenset(
     "discussion responses pagination pager toolbar searchform searchbox copyright legal disclaimer skip hidden outbrain taboola "
     "aside advertorial rail tooltip feedback side sidecol search talkback reactions werbung anzeige publicidad".split()
 )
+#: Kinds that are out even if they hold prose. The names of _SURE are so as any part of a name, others as whole names.
+_SURE = frozenset(
+    "advert adverts advertisement advertisements advertising adsense adslot sponsored comment comments commentlist disqus talkback "
+    "cookie cookies gdpr outbrain taboola werbung anzeige publicidad".split()
+)
+_CERTAIN = _SURE | frozenset("ad ads adv advertorial sponsor sponsors share sharing shares consent hidden".split())
+#: Parts that say where or in what form a thing is; a name of these and of parts of _NO_NAME is one of _NO_NAME as a whole.
+_FORM = frozenset(
+    "site main page left right top bottom upper lower primary secondary box block area section container wrap wrapper inner outer "
+    "content list item items link links bar button buttons btn group row col column header title form icon icons slot unit module "
+    "panel post posts article articles story stories entry global fixed sticky mobile desktop the us media text body div holder "
+    "zone region view thread reader readers user users field input js wp large small".split()
+)
+#: A named block is prose if blocks of so many words, without links, make up half of its text.
+PROSE_WORDS = 8
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _HEADER_NAME = frozenset("header headers siteheader pageheader".split())
 #: A header that names one of these is the article's own.
 _ARTICLE_NAME = frozenset("article post entry story content section".split())
@@ -91,7 +107,7 @@ class Page:
     def __init__(self, source: str, by_name: bool = True):
         # Of each element: parent, path, whether its text is out, whether it may be proposed.
         self.parent, self.path, self.out, self.fit, self.tag, self.inside = [-1], [""], [False], [False], [""], [False]
-        self.article = [False]
+        self.article, self.named = [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self._stack, self._text, self._linked, self._anchor = [0], [], 0, False
         self._by_name = by_name
@@ -124,20 +140,59 @@ class Page:
         in_article = self.inside[up]
         if not out and tag == "header" and not in_article:
             out = True
+        named = False
         if not out and self._by_name and tag not in _SHELL and (classes or "id" in given):
-            for parts in _names(f"{classes} {given.get('id', '')}"):
-                if parts & _NO_NAME or not in_article and parts & _HEADER_NAME and not parts & _ARTICLE_NAME:
-                    out = True
+            out, named = self._ruled(tag, classes, given.get("id", ""), in_article)
         self.parent.append(up)
         step = ".".join([tag, *sorted(set(re.sub(r"\d+", "9", c.lower()) for c in classes.split()))]) if classes else tag
         self.path.append(f"{self.path[up]}>{step}")
         self.out.append(out)
         self.inside.append(in_article or tag in ("article", "main"))
         self.article.append(self.article[up] or tag == "article")
+        self.named.append(named)
         self.fit.append(tag in _CONTAINERS)
         self.tag.append(tag)
         self._stack.append(len(self.parent) - 1)
 
+    def _ruled(self, tag: str, classes: str, ident: str, in_article: bool) -> tuple[bool, bool]:
+        """Whether an element is out by its names, and whether it is unless it holds prose.
+
+        Inline elements and headings go only by the name of a certain kind, as do ids of sections; headings not by their
+        ids. In an article or main only whole names count.
+        """
+        marks = tag in _INLINE or tag in _HEADINGS
+        sure = named = False
+        for of_id, value in ((False, classes), (True, ident)):
+            if of_id and tag in _HEADINGS:
+                continue
+            for parts in _names(value):
+                if not in_article and not marks and parts & _HEADER_NAME and not parts & _ARTICLE_NAME:
+                    return True, False
+                if not parts & _NO_NAME:
+                    continue
+                whole = all(part in _NO_NAME or part in _FORM or part.isdigit() for part in parts)
+                if whole and parts & _CERTAIN or not in_article and not marks and parts & _SURE:
+                    sure = True
+                elif (whole or not in_article) and not marks and not (of_id and tag == "section"):
+                    named = True
+        return sure, named and not sure
+
+    def _settle(self) -> None:
+        """Put out the named elements that hold no prose, with all below them."""
+        if not any(self.named):
+            return
+        every, prose = [0] * len(self.parent), [0] * len(self.parent)
+        for owner, text, linked in self.blocks:
+            every[owner] += len(text)
+            if len(text.split()) >= PROSE_WORDS and 2 * linked <= len(text):
+                prose[owner] += len(text)
+        for e in range(len(every) - 1, 0, -1):
+            every[self.parent[e]] += every[e]
+            prose[self.parent[e]] += prose[e]
+        for e in range(1, len(every)):
+            self.out[e] = self.out[e] or self.out[self.parent[e]] or self.named[e] and 2 * prose[e] <= every[e]
+        self.blocks = [b for b in self.blocks if not self.out[b[0]]]
+
     def _close(self, depth: int) -> None:
         """Close what is open from a depth of the stack on."""
         if any(self.tag[e] not in _INLINE for e in self._stack[depth:]):
@@ -204,6 +259,7 @@ class Page:
                 continue  # such an element holds nothing back and ends nothing
             self._open(tag, m[3])
         self._flush()
+        self._settle()
 
     def totals(self) -> list[float]:
         """Of each element, the weight of the text in it and below; linked text counts little."""

@@ -63,3 +63,22 @@ def test_parts_of_an_article_beside_its_body_stay(spark):
     rows = [(i, "http://h.example/", plain) for i in range(5)] + [(9, "http://h.example/", f"<main>{PARTS}</main>")]
     got = {r.page_id: r.text for r in G.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[9] == WHOLE and got[0] == BODY.strip()
+
+
+def test_names_of_chrome_do_not_cut_prose_out_of_an_article():
+    said = "We talk at length about what was found and what it may mean"
+    parts = [
+        "<section id='discussion'><h2 id='related-work'>Related work</h2><p>Short.</p></section>", f"<section id='search'><p>{said}</p></section>",
+        f"<div class='response'><p>{said}</p></div>", "<p>The <span class='search-term'>word</span> stays.</p>", "<div class='market-share'>9 %</div>",
+        "<div class='related-work'>Cited</div>", "<h2 class='alert'>Alert</h2>",
+    ]
+    chrome = [
+        f"<div class='ad'><p>{said}</p></div>", f"<div id='comments'><p>{said}</p></div>", f"<div class='cookie-notice'>{said}</div>", "<div class='share'>Tweet</div>",
+        f"<section id='comments'>{said}</section>", "<div class='related-posts'><a href=x>Another story that has a rather long name indeed</a></div>",
+        "<div class='social'>Follow us</div>", "<p>The <span class='ad-slot'>BUY</span>end.</p>",
+    ]
+    want = f"Related work\n\nShort.\n\n{said}\n\n{said}\n\nThe word stays.\n\n9 %\n\nCited\n\nAlert\n\nThe end."
+    for tag in ("article", "main"):
+        assert G.extract(f"<body><{tag}>{''.join(parts + chrome)}</{tag}></body>", None) == want
+    page = f"<body><div class=story><h1>Head</h1><p>{said}</p>{''.join(parts[:4])}{''.join(chrome[:4])}</div><div class='sidebar-x'>more</div></body>"
+    assert G.extract(page, None) == f"Head\n\n{said}\n\nRelated work\n\nShort.\n\n{said}\n\n{said}\n\nThe word stays."
