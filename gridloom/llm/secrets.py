@@ -4,10 +4,14 @@ Three plain patterns find assigned values, access ids and long hexadecimal runs.
 candidates only: they are decoded and reported if what they hold is built like a key or a signed token, that is
 
 * ``key``: a DER sequence whose nested lengths fill it to the last byte and which starts like a private key (a small
-  version number, then at least one more element), bare, in hexadecimal or in PEM armour;
-* ``openssh``: an OpenSSH private key, with its length-prefixed cipher, derivation and key fields;
+  version number, then at least one more element) or is an encrypted one (an algorithm with its settings, then bytes),
+  bare, in hexadecimal or in PEM armour; or armour that names a cipher, whose bytes fill blocks of it;
+* ``openssh``: an OpenSSH private key, with its length-prefixed cipher, derivation and key fields, likewise;
 * ``jwt``: three base64url parts, the first a JSON object that names an algorithm, the second a JSON object.
 
+Base64 may be wrapped, with line ends real or written as backslash-n, indented or as quoted strings: what is decoded of it
+is as long as its own lengths say. A candidate starts where no letter or digit stands before it, but for such a line end.
+
 Each text is worked on alone, so a scan is one pass of a map over whole texts with no shuffle.
 """
 
@@ -36,10 +40,17 @@ LEAST_ASSIGNED, LEAST_ACCESS = 8, 16
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "key", "openssh", "jwt")
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
+_CHAR = r"[A-Za-z0-9+/_-]"
+# A DER sequence starts with byte 0x30 and an OpenSSH key with its mark; line ends may come after the first characters.
+_START = re.compile(rf"(?:M[A-P](?={_CHAR}{{14}})|b3BlbnNzaC1r(?={_CHAR}{{4}}))")
+_PIECE = re.compile(rf"(?:{_CHAR}|\\{{1,8}}/)+")
+_BREAK = re.compile(r"""(?:\\{1,8}[nrt]|["'][ \t]*[+.][ \t]*(?=[\r\n"'\\])|["'\s,;|>*#\\])+""")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+# A JSON object starts with a brace, then a quote or white space: "ey" or "ew".
+_TOKEN_START = re.compile(r"(?=e[yw][A-Za-z0-9_-]{8})")
+_TOKEN = re.compile(r"e[yw][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----")
+_HEADER = re.compile(r"\b(Proc-Type|DEK-Info):[ \t]*([^\s\"']+)|^[ \t\"']*([A-Za-z][A-Za-z0-9-]*):(.*)$", re.M)
 
 Span = tuple[str, int, int]
 
@@ -95,7 +106,12 @@ def is_der_key(data: bytes | None) -> bool:
     if not first or len(first) < 2:
         return False
     tag, at, end = first[0]
-    if tag != 0x02 or end - at != 1 or data[at] > 3:
+    if tag == 0x30:
+        # Encrypted: the algorithm and its settings, then the bytes. A digest has no settings, a public key a bit string.
+        kind = _children(data, at, end)
+        if not kind or [t for t, _, _ in kind] != [0x06, 0x30] or [t for t, _, _ in first] != [0x30, 0x04]:
+            return False
+    elif tag != 0x02 or end - at != 1 or data[at] > 3:
         return False
     left = list(first)
     while left:
@@ -138,6 +154,107 @@ def is_openssh_key(data: bytes | None) -> bool:
     return at == len(data)
 
 
+def _wrapped(text: str, at: int, need: int, fully: bool = False) -> tuple[str, int] | None:
+    """So many base64 characters from a place on, over line ends, and where they end; None if there are fewer.
+
+    Fully: they must not go on, and the end is that of what fills up the last four.
+    """
+    parts, left = [], need
+    while True:
+        piece = _PIECE.match(text, at)
+        if piece is None:
+            return None
+        run = piece[0].replace("\\", "")
+        if len(run) >= left:
+            break
+        parts.append(run)
+        left -= len(run)
+        gap = _BREAK.match(text, piece.end())
+        if gap is None:
+            return None
+        at = gap.end()
+    parts.append(run[:left])
+    found = "".join(parts)
+    if not fully:
+        return found, piece.end()
+    if len(run) == left:
+        end = piece.end()
+        while end < len(text) and text[end] == "=" and end < piece.end() + 2:
+            end += 1
+        return found, end
+    # A "-" or "_" after standard base64 is not part of it.
+    if run[left] not in "-_" or "-" in found or "_" in found or "\\" in piece[0]:
+        return None
+    return found, piece.start() + left
+
+
+def _key_at(text: str, at: int) -> tuple[str, int] | None:
+    """Kind and end of a key that starts at a place in base64, as long as its own lengths say."""
+
+    def head(size: int) -> bytes | None:
+        need = -(-size * 4 // 3)
+        some = _wrapped(text, at, need) if need <= len(text) - at else None
+        return decode64(some[0]) if some else None
+
+    if text[at] == "b":
+        kind, check, size = "openssh", is_openssh_key, len(b"openssh-key-v1\x00")
+        fields, count = 3, None
+        while fields:
+            data = head(size + 4)
+            if data is None:
+                return None
+            size += 4 + int.from_bytes(data[size : size + 4], "big")
+            fields -= 1
+            if not fields and count is None:
+                data = head(size + 4)
+                count = int.from_bytes(data[size : size + 4], "big") if data else 0
+                if not 1 <= count <= 16:
+                    return None
+                size, fields = size + 4, count + 1
+    else:
+        kind, check, data = "key", is_der_key, decode64(text[at : at + 16])
+        if not data or data[0] != 0x30 or data[1] == 0x80:
+            return None
+        width = data[1] & 0x7F if data[1] > 0x80 else 0
+        if width > 4 or data[2 + width] not in (0x02, 0x30):
+            return None
+        size = 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+    need = -(-size * 4 // 3)
+    some = _wrapped(text, at, need, fully=True) if 32 <= need <= len(text) - at else None
+    return (kind, some[1]) if some and check(decode64(some[0])) else None
+
+
+def _armoured(body: str) -> str | None:
+    """Kind of the key that stands between the marks of armour, with or without header lines."""
+    body = re.sub(r"\\{1,8}[nr]", "\n", body).replace("\\t", " ")
+    headers = {}
+
+    def note(m) -> str:
+        headers[m[1] or m[3]] = m[2] or m[4]
+        return "\n"
+
+    if ":" in body:
+        body = _HEADER.sub(note, body)
+    # Between base64 stand line ends, the quotes and joins of string literals, and the marks of quoted or commented lines.
+    data = decode64(_BREAK.sub("", body.replace("\\/", "/")))
+    if is_openssh_key(data):
+        return "openssh"
+    if is_der_key(data):
+        return "key"
+    start = re.fullmatch(r"[A-Z0-9-]+,((?:[0-9A-Fa-f]{16}){1,2})", headers.get("DEK-Info", "").strip(), re.I)
+    if data and start and "ENCRYPTED" in headers.get("Proc-Type", "") and len(data) >= 32 and len(data) % (len(start[1]) // 2) == 0:
+        return "key"
+    return None
+
+
+def _may_start(text: str, at: int, glue: str) -> bool:
+    """Whether no letter or digit stands before a place, nor one of the given marks, but for a written line end."""
+    before = text[at - 1 : at]
+    if not (before.isascii() and before.isalnum() or before and before in glue):
+        return True
+    return before in "nrt" and text[at - 2 : at - 1] == "\\"
+
+
 def is_signed_token(text: str) -> bool:
     """Whether text is header.payload.signature with a JSON header that names an algorithm and a JSON payload."""
     parts = text.split(".")
@@ -167,26 +284,33 @@ def structural_spans(text: str) -> list[Span]:
     found = []
     if "-----BEGIN " in text:
         for m in _ARMOUR.finditer(text):
-            data = decode64("".join(m[2].split()))
-            if is_openssh_key(data):
-                found.append(("openssh", *m.span()))
-            elif is_der_key(data):
-                found.append(("key", *m.span()))
-    armoured = [(a, b) for _, a, b in found]
-    for m in _RUN.finditer(text):
-        run = m[0]
-        if any(a <= m.start() < b for a, b in armoured):
+            end, last = text.find("-----", m.end()), f"-----END {m[1]}-----"
+            kind = _armoured(text[m.end() : end]) if end >= 0 and text.startswith(last, end) else None
+            if kind:
+                found.append((kind, m.start(), end + len(last)))
+    armoured, inside, at = list(found), 0, 0
+    for m in _START.finditer(text):
+        start = m.start()
+        while inside < len(armoured) and armoured[inside][2] <= start:
+            inside += 1
+        if start < at or inside < len(armoured) and armoured[inside][1] <= start or not _may_start(text, start, "+"):
             continue
-        # A DER sequence starts with byte 0x30 and an OpenSSH key with "o": "M" and "b" in base64.
-        if run[0] == "M" and is_der_key(decode64(run)):
-            found.append(("key", *m.span()))
-        elif run[0] == "b" and is_openssh_key(decode64(run)):
-            found.append(("openssh", *m.span()))
+        key = _key_at(text, start)
+        if key:
+            found.append((key[0], start, key[1]))
+            at = key[1]
     for m in _HEX_RUN.finditer(text):
-        if m[0].startswith("30") and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
+        if len(m[0]) % 2 == 0 and m[0].startswith("30") and is_der_key(bytes.fromhex(m[0])):
             found.append(("key", *m.span()))
-    if "ey" in text and "." in text:
-        found += [("jwt", *m.span()) for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
+        elif len(m[0]) % 2 == 0 and m[0].startswith("6f") | m[0].startswith("6F") and is_openssh_key(bytes.fromhex(m[0])):
+            found.append(("openssh", *m.span()))
+    if ("ey" in text or "ew" in text) and "." in text:
+        at = 0
+        for m in _TOKEN_START.finditer(text):
+            one = _TOKEN.match(text, m.start()) if m.start() >= at and _may_start(text, m.start(), "") else None
+            if one and is_signed_token(one[0]):
+                found.append(("jwt", *one.span()))
+                at = one.end()
     return found
 
 

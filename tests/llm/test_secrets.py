@@ -50,6 +50,49 @@ def test_what_only_looks_like_it_is_left():
         assert not [s for s in S.find_secrets(text) if s[0] not in S.BASE_KINDS], text
 
 
+def armour(label, data, end="\n", head="", width=64):
+    lines = [b64(data)[k : k + width] for k in range(0, len(b64(data)), width)]
+    return end.join([f"-----BEGIN {label}-----", *([head] if head else []), *lines, f"-----END {label}-----"])
+
+
+def test_written_forms_of_keys():
+    kind = der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + der(0x30, der(4, b"saltsalt") + der(2, b"\x08\0")))
+    encrypted = der(0x30, kind + der(4, bytes(range(160))))
+    cipher = lambda end: f"Proc-Type: 4,ENCRYPTED{end}DEK-Info: AES-128-CBC,{'0A' * 16}{end}"
+    lines = [b64(KEY)[k : k + 64] for k in range(0, len(b64(KEY)), 64)]
+    quoted = ' +\n  '.join(f'"{x}\\n"' for x in lines)
+    for text, want in (
+        (armour("PRIVATE KEY", KEY, "\\n"), "key"), (armour("PRIVATE KEY", KEY, "\\r\\n"), "key"), (armour("PRIVATE KEY", KEY, "\\\\n"), "key"),
+        (armour("OPENSSH PRIVATE KEY", OPENSSH, "\\n"), "openssh"), (armour("PRIVATE KEY", KEY, '\\n" +\n  "'), "key"), (armour("PRIVATE KEY", KEY, "\n> "), "key"),
+        (armour("RSA PRIVATE KEY", bytes(range(160)), head=cipher("\n")), "key"), (armour("RSA PRIVATE KEY", bytes(range(160)), "\\n", cipher("\\n")), "key"),
+        (armour("RSA PRIVATE KEY", KEY, head="Comment: my own key\n"), "key"),
+        (armour("ENCRYPTED PRIVATE KEY", encrypted), "key"), (b64(encrypted), "key"), (encrypted.hex(), "key"),
+        ("\n".join(lines), "key"), ("\r\n    ".join(lines), "key"), ("\\n".join(lines), "key"), (quoted[1:-3], "key"),
+        ("\n".join(b64(OPENSSH)[k : k + 70] for k in range(0, len(b64(OPENSSH)), 70)), "openssh"), (OPENSSH.hex(), "openssh"), (OPENSSH.hex().upper(), "openssh"),
+    ):
+        for before, after in (("see ", "\nThanks for it"), ('"', '"')):
+            spans = [s for s in S.find_secrets(before + text + after) if s[0] not in S.BASE_KINDS]
+            assert spans == [(want, len(before), len(before + text))], (text, spans)
+    spaced = base64.urlsafe_b64encode(b'{\n "alg": "HS256"}').decode().rstrip("=") + "." + token({"alg": "x"}).split(".", 1)[1]
+    wide = base64.urlsafe_b64encode(b'{ "alg" : "HS256"}').decode().rstrip("=") + "." + token({"alg": "x"}).split(".", 1)[1]
+    for text, want in ((b64(KEY), "key"), (b64(OPENSSH), "openssh"), (token({"alg": "HS256"}), "jwt"), (spaced, "jwt"), (wide, "jwt")):
+        for before in ("key-", "key_", "path/", "x/y-z_", "\\n", '"a\\n'):
+            spans = [s for s in S.find_secrets(before + text + " x") if s[0] not in S.BASE_KINDS]
+            assert spans == [(want, len(before), len(before + text))], (before, want, spans)
+    assert S.redact(f'k = "{armour("PRIVATE KEY", KEY, chr(92) + "n")}"') == 'k = "[SECRET]"'
+
+
+def test_written_forms_of_what_is_no_key():
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01") + der(5, b"")) + der(4, bytes(range(32))))
+    public = der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(0x30, der(6, b"\x2a"))) + der(3, bytes(range(90))))
+    cipher = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n"
+    for text in (
+        b64(digest), b64(public), armour("PUBLIC KEY", public), armour("RSA PRIVATE KEY", bytes(range(161)), head=cipher), armour("PRIVATE KEY", bytes(range(160))),
+        armour("PRIVATE KEY", KEY).replace("END PRIVATE", "END OTHER").replace("M", "N"), "key-" + b64(KEY)[:-8], "\n".join([b64(KEY)[:64], "and more"]), OPENSSH[:-1].hex(),
+    ):
+        assert not [s for s in S.find_secrets(text) if s[0] not in S.BASE_KINDS], text
+
+
 ASSIGN = re.compile(
     r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"""
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
