@@ -78,7 +78,7 @@ def _signed(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
             n, digest, sig = [], [], []
             for s in shingle_sets(batch.column("text"), size):
                 n.append(len(s))
-                digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                digest.append(_digest(s))
                 sig.append(signature(s, coordinates).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
@@ -88,13 +88,19 @@ def _signed(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, n long, digest binary, sig array<long>")
 
 
+def _digest(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
 def _full_sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+            sets = list(shingle_sets(batch.column("text"), size))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["digest", "shingles"]
+            )
 
-    return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, shingles array<long>")
+    return docs.select("text").mapInArrow(run, "digest binary, shingles array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -186,26 +192,27 @@ def _links_in_squares(members: DataFrame, matches: int, level: int, side: int) -
     return squares.groupBy("val", "i", "j").applyInArrow(run, f"a {id_type}, b {id_type}")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = LEVEL, size: int = SHINGLE, coordinates: int = COORDINATES,
-    matches: int = MATCHES, side: int = SIDE,
-) -> DataFrame:
-    """One row per input row: doc_id, n_shingles (set size), component_id (least id reachable), kept (it is that one).
+def _ties(able: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) that tie the classes of each id that stands on several texts."""
+    halves = [F.xxhash64("digest"), F.xxhash64("digest", F.lit(1))]
+    found = able.groupBy("id").agg(*[f(h).alias(f"{n}{k}") for k, h in enumerate(halves) for n, f in (("lo", F.min), ("hi", F.max))])
+    repeated = staged(found.where("lo0 < hi0 or lo1 < hi1").select("id"), "minhash-repeated")
+    several = able.select("id", "digest").join(repeated.hint("merge"), "id", "left_semi").distinct()
+    tied = staged(several.join(reps.select("digest", F.col("id").alias("b")).hint("merge"), "digest").select("id", "b"), "minhash-tied")
+    return tied.join(tied.groupBy("id").agg(F.min("b").alias("a")), "id").where("a < b").select("a", "b")
 
-    Linked are documents whose sets have 100 * common >= level * union. Ids are integers. A null or blank text has no
-    shingle and no link. A row without an id takes no part: its component is null and it is kept. Rows that repeat an
-    id get that id's result each; if their texts differ, their links count together. Other columns are not read; an
-    empty table gives no rows.
+
+def _classes(able: DataFrame, texts: DataFrame, by_id: bool, level: int, size: int, matches: int, side: int) -> tuple[DataFrame, DataFrame]:
+    """Classes (id, rep, n, sig, digest) of rows (id, n, digest, sig), and components (id, component) of linked classes.
+
+    A class is numbered by itself, so that an id may stand in several; ``rep`` is its least id, null if it has none. With
+    ``by_id`` classes that share an id are linked too.
     """
-    ready(docs)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = staged(_signed(texts, size, coordinates), "minhash-signed")
-    able = signed.where("digest is not null and id is not null")
-    classes = able.groupBy("digest").agg(F.min("id").alias("rep"))
-    reps = staged(
-        able.join(classes.withColumnRenamed("digest", "d"), (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("d")), "left_semi")
-        .select("id", "n", "sig", "digest").dropDuplicates(["id", "digest"]), "minhash-classes",
-    )
+    classes = able.groupBy(F.col("digest").alias("d")).agg(F.min("id").alias("rep"))
+    reps = able.join(classes, F.col("id").eqNullSafe(F.col("rep")) & (F.col("digest") == F.col("d")), "left_semi").dropDuplicates(["digest"])
+    # Written, so that the numbers are given once.
+    reps = staged(reps.select(F.monotonically_increasing_id().alias("id"), F.col("id").alias("rep"), "n", "sig", "digest"), "minhash-classes")
+    ties = staged(_ties(able, reps), "minhash-ties") if by_id else able.sparkSession.range(0).selectExpr("id AS a", "id AS b")
 
     posted = reps.select("id", F.posexplode("sig").alias("pos", "val"))
     shared = posted.groupBy("val").agg(F.count("*").alias("f")).where("f > 1")
@@ -220,7 +227,7 @@ def near_duplicates(
     # Lists of the same members say the same; one of them stays.
     lists = prefixes.groupBy("val").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("y"),
-        F.max(F.struct("weight", (-F.col("id")).alias("least"), "id")).getField("id").alias("pivot"),
+        F.max(F.struct("weight", "id")).getField("id").alias("pivot"),
     ).where("n > 1")
     lists = lists.groupBy("n", "x", "y", "pivot").agg(F.min("val").alias("val")).select("val", "n", "pivot")
     members = staged(prefixes.select("id", "val", "pos").join(lists, "val"), "minhash-lists")
@@ -230,14 +237,16 @@ def near_duplicates(
     agree = F.size(F.array_intersect("sig_a", "sig_b"))
     stars = staged(met.join(sig("a"), "a").join(sig("b"), "b").where(agree >= matches).select("a", "b"), "minhash-stars")
 
+    wanted = staged(reps.join(members.select("id").distinct(), "id", "left_semi").select("id", "rep", "digest"), "minhash-wanted")
     # Sorted and merged at any size: a small list of ids would be broadcast, and the plan would change as it grows.
-    wanted = members.select("id").distinct().hint("merge")
-    # A row that repeats an id may carry another text: the class's own set is the one whose digest it has.
-    sets = staged(
-        _full_sets(texts.where("id is not null").join(wanted, "id", "left_semi"), size).dropDuplicates(["id"]), "minhash-sets"
-    )
+    source = texts.where("id is not null").join(wanted.select(F.col("rep").alias("id")).distinct().hint("merge"), "id", "left_semi")
+    if not by_id:
+        source = source.unionByName(texts.where("id is null"))
+    # A row that repeats an id may carry another text: a class has the set with its digest.
+    sets = _full_sets(source, size).dropDuplicates(["digest"]).join(wanted.select("id", "digest").hint("merge"), "digest")
+    sets = staged(sets.select("id", "shingles"), "minhash-sets")
     links = staged(_linked(stars, sets, level), "minhash-links")
-    joined = staged(components(links), "minhash-components")
+    joined = staged(components(links.unionByName(ties)), "minhash-components")
 
     labelled = members.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = staged(labelled, "minhash-labelled")
@@ -252,10 +261,40 @@ def near_duplicates(
         .join(left.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, pos)")).alias("own")), "id").join(sets, "id")
     )
     more = _links_in_squares(left.join(fit, "id"), matches, level, side)
-    joined = staged(components(links.unionByName(more)), "minhash-components")
+    joined = staged(components(links.unionByName(ties).unionByName(more)), "minhash-components")
+
+    return reps, joined
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = LEVEL, size: int = SHINGLE, coordinates: int = COORDINATES,
+    matches: int = MATCHES, side: int = SIDE,
+) -> DataFrame:
+    """One row per input row: doc_id, n_shingles (set size), component_id (least id reachable), kept (it is that one).
 
-    named = reps.select("digest", "id").join(joined, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
-    out = signed.join(named.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
+    Linked are documents whose sets have 100 * common >= level * union. Ids are integers. A null or blank text has no
+    shingle and no link. A row without an id takes no part: its component is null and it is kept. Rows that repeat an
+    id get that id's result each; if their texts differ, their links count together. Other columns are not read; an
+    empty table gives no rows.
+    """
+    ready(docs)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    signed = staged(_signed(texts, size, coordinates), "minhash-signed")
+    able = signed.where("digest is not null and id is not null")
+    reps, joined = _classes(able, texts, True, level, size, matches, side)
+
+    linked = reps.select("id", "rep").join(joined, "id")
+    least = linked.groupBy("component").agg(F.min("rep").alias("least"))
+    joined = joined.join(least, "component").select("id", "least")
+    named = reps.select("id", "rep", F.col("digest").alias("d")).join(joined, "id", "left").select("d", F.coalesce("least", "rep").alias("component_id"))
+    named = staged(named, "minhash-named")
+    # A blank row has the result of other rows with its id.
+    blank = signed.where("digest is null and id is not null")
+    others = able.select("id", "digest").join(blank.select("id").distinct().hint("merge"), "id", "left_semi").distinct()
+    others = others.join(named, F.col("digest") == F.col("d")).groupBy("id").agg(F.min("component_id").alias("component_id"))
+    out = signed.where("digest is not null").join(named, F.col("digest") == F.col("d"), "left").select("id", "n", "component_id")
+    out = out.unionByName(blank.join(others, "id", "left").select("id", "n", "component_id"))
+    out = out.unionByName(signed.where("digest is null and id is null").select("id", "n", F.col("id").alias("component_id")))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))

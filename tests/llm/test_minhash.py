@@ -67,6 +67,18 @@ def test_families_with_chains_and_shared_passages(spark):
     compare(docs, side=4)
 
 
+def test_an_id_on_two_texts_has_the_links_of_both(spark):
+    rng = random.Random(7)
+    a, b, c, d = ([rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(120)] for _ in range(4))
+    near = lambda words, k: " ".join([*words[:-1], f"other{k}"])
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (8, near(a, 1)), (9, near(b, 1)), (9, near(b, 2)), (20, " ".join(c)), (20, " ".join(d)), (3, near(c, 1)), (20, " ")]
+    # The class of a text has a smaller id than the row that repeats another.
+    rows += [(5, " ".join(b)), (30, near(d, 1)), (30, near(d, 1)), (31, ""), (None, " ".join(c)), (None, None)]
+    for _ in range(3):
+        rng.shuffle(rows)
+        compare(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20) if i != 9] + [(30, 30)], "a long, b long")
     got = {r.id: r.component for r in M.components(links).collect()}
