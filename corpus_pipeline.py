@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import bpe, decontam, minhash, quality, secrets
-from gridloom.llm._util import free_name, staged, table
+from gridloom.llm._util import staged, table
 from gridloom.llm.queries import tokenizer_file
 
 
@@ -20,13 +20,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays, once; rows without an id all stay."""
-    found = minhash.near_duplicates(docs)
-    name = free_name(docs, "_gone")
-    gone = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "pipeline-gone")
-    # Merged at any size, so that the plan does not change as the table grows; rows of an id then lie together anyway.
-    left = docs.where("doc_id is not null").join(gone.hint("merge"), F.col("doc_id") == F.col(name), "left_anti").dropDuplicates(["doc_id"])
-    return left.unionByName(docs.where("doc_id is null"))
+    """Of each group of near-duplicate texts the document with the least id stays, once, with or without ids."""
+    return minhash.drop_near_duplicates(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

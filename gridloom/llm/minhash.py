@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridloom.llm._util import hashed_words, lowered_chunks, mixed, ready, staged
+from gridloom.llm._util import free_name, hashed_words, lowered_chunks, mixed, ready, staged
 
 SHINGLE = 5
 COORDINATES = 48
@@ -299,3 +300,40 @@ def near_duplicates(
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: int = LEVEL, size: int = SHINGLE) -> DataFrame:
+    """One whole row of each group of linked texts: one with the group's least id, or without an id if none has one.
+
+    Rows count by their texts: an id on texts that are not linked stays with each of them, and copies without an id go
+    like others. Blank texts are not linked: of these, rows that repeat id and text stay once, and rows without an id all.
+    """
+    ready(docs)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    able = staged(_signed(texts, size, COORDINATES).where("digest is not null"), "minhash-signed")
+    reps, joined = _classes(able, texts, False, level, size, MATCHES, SIDE)
+    # Of the classes of a component the one with the least id stays; classes that share this id are taken by digest.
+    linked = reps.select("id", "rep", "digest").join(joined, "id")
+    best = linked.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "digest")).alias("best"))
+    alone = reps.join(joined.select("id"), "id", "left_anti").select("rep", "digest")
+    stay = alone.unionByName(best.select("best.rep", "best.digest"))
+
+    digest, least, none = (free_name(docs, n) for n in ("_digest", "_least", "_none"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    stay = staged(stay.select(F.col("digest").alias(digest), zero(F.col("rep")).alias(least), F.col("rep").isNull().alias(none)), "minhash-stay")
+    blank = F.coalesce(F.col(text_col), F.lit("")).rlike(r"\A[ \t\n\x0B\f\r]*\z")
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            found = pa.array([_digest(s) for s in shingle_sets(batch.column(at), size)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, digest])
+
+    fields = [T.StructField(f.name, f.dataType) for f in docs.schema]
+    marked = docs.where(~blank).mapInArrow(run, T.StructType([*fields, T.StructField(digest, T.BinaryType())]))
+    marked = marked.withColumn(least, zero(F.col(id_col))).withColumn(none, F.col(id_col).isNull())
+    # Merged at any size, so that the plan does not change as the table grows; rows of a text and id then lie together anyway.
+    keys = [digest, least, none]
+    kept = marked.join(stay.hint("merge"), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    empty = docs.where(blank)
+    return kept.unionByName(empty.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col])).unionByName(empty.where(F.col(id_col).isNull()))

@@ -53,6 +53,16 @@ def test_near_duplicate_stage_keeps_rows_without_an_id(spark, docs):
     assert kept.where(F.col("doc_id") == 10).count() == 1 and kept.where(F.col("doc_id") == 11).count() == 0
 
 
+def test_near_duplicate_stage_goes_by_text_where_ids_repeat(spark):
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(80)) for x in "abcde")
+    rows = [(7, a), (7, b), (7, a), (3, a + " more"), (9, c), (9, c + " more"), (None, d), (None, d), (None, d + " more"), (None, e), (4, e), (5, ""), (5, ""), (5, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in P.keep_one_of_near_duplicates(spark, docs.repartition(3), SF).collect()]
+    last = [x for x in got if x[0] is None and x[1] or x[0] == 9]
+    assert sorted(str(x) for x in got if x not in last) == sorted(str(x) for x in [(7, b), (3, a + " more"), (4, e), (5, ""), (5, None), (None, "")])
+    assert sorted(str(i) for i, _ in last) == ["9", "None"] and {t[:2] for _, t in last} == {"c0", "d0"}
+
+
 def test_queries_read_whole_tables(spark):
     n = {t: spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("documents", "pages")}
     for name, make in QUERIES.items():
