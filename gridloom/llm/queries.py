@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe, decontam, minhash, pages, ppm, quality, secrets, sharding, tokencount, warc
+from gridloom.llm import bpe, decontam, merkle, minhash, pages, ppm, quality, resampling, secrets, sharding, tokencount, topk, warc
+from gridloom.llm import statements as S
 from gridloom.llm._util import table
 
 
@@ -56,11 +57,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"), labels=labels)
 
 
+def op11_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_scores(table(spark, sf_dir, "embeddings"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scores, op2_secret_spans, op3_shards, op4_near_duplicates, op5_main_text, op6_token_counts, op7_archives, op8_bpe_ids,
-        op9_benchmark_leaks, op10_quality,
+        op9_benchmark_leaks, op10_quality, op11_top_scores, op12_manifest, op13_resampled,
     )
 }
 
@@ -78,4 +91,7 @@ SELECT page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM p JOIN m ON m.h = p.h""",
+    "op11_top_scores": S.TOP_SCORES,
+    "op12_manifest": S.MANIFEST,
+    "op13_resampled": S.RESAMPLED,
 }
