@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._util import ready, staged
+from gridloom.llm._util import kept, ready, staged
 from gridloom.llm.merging import NEVER, Cache, merge_symbols
 from gridloom.session import shared_folder
 
@@ -152,7 +152,8 @@ class WordTokenizer:
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.lexicon = lexicon
-        self.piece, self.word = Cache(self._piece, 700_000), Cache(self._word, 250_000)
+        self.piece = Cache(self._piece, 700_000, weigh=lambda found: len(found[0]) + len(found[1] or ""))
+        self.word = Cache(self._word, 250_000, weigh=len)
 
     def merged(self, word: str) -> list[int]:
         """Ids of one pre-token by merging."""
@@ -242,15 +243,9 @@ def publish(spark: SparkSession, data: bytes) -> str:
     return name
 
 
-_TOKENIZERS: dict[tuple[str, str], WordTokenizer] = {}
-
-
 def _tokenizer(path: str, name: str) -> WordTokenizer:
     """One tokenizer a worker: the lexicon is mapped once and pieces met in one task are known in the next."""
-    if (path, name) not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[path, name] = WordTokenizer(path, Lexicon(SparkFiles.get(name)))
-    return _TOKENIZERS[path, name]
+    return kept((path, name), lambda: WordTokenizer(path, Lexicon(SparkFiles.get(name))))
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm._util import free_name, hashed_words, lowered_chunks, ready, staged
+from gridloom.llm._util import free_name, hashed_words, lowered_chunks, ready, small_batches, staged
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -85,8 +85,8 @@ def measure(texts):
         marked = np.bincount(of_word, holds, len(some))
         ends = np.searchsorted(of_word, np.arange(len(some)), "right")
         letters = ~space & ~_CONTINUES[data]
-        chars, symbols = np.cumsum(letters), np.cumsum(_SYMBOL[data])
-        chars_at, symbols_at = np.diff(chars[last], prepend=0), np.diff(symbols[last], prepend=0)
+        begins = np.concatenate(([0], last[:-1] + 1))
+        chars_at, symbols_at = (np.add.reduceat(x, begins, dtype=np.int64) for x in (letters, _SYMBOL[data]))
         start = 0
         for i, text in enumerate(some):
             words, start = word[start : ends[i]], ends[i]
@@ -174,7 +174,7 @@ def _measured(docs: DataFrame, text_col: str, names: dict[str, str]) -> DataFram
     spark_types = {k: T.BooleanType() if k == "base_failed" else T.StringType() if k == "votes" else T.LongType() for k in names}
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, at):
             found = list(measure(batch.column(at)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array([m[k] for m in found], types[k]) for k in names)], [*batch.schema.names, *names.values()]
@@ -224,12 +224,14 @@ def judge_documents(
 def keep_good_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST_POSTERIOR, labels: DataFrame | None = None
 ) -> DataFrame:
-    """The rows, with all their columns, that :func:`judge_documents` keeps."""
+    """The rows, with all their columns, that :func:`judge_documents` keeps, which says what becomes of odd rows.
+
+    Rows are measured once and written with what was found; texts of any length are measured whole.
+    """
     spark = ready(docs)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    votes = staged(_measured(source, "text", {"votes": "votes"}).drop("text"), "quality-votes")
-    good = [(v,) for v, p in _verdicts(votes, labels).items() if p >= least]
     failed, own = free_name(docs, "_failed"), free_name(docs, "_votes")
-    marked = _measured(docs, text_col, {"base_failed": failed, "votes": own})
+    marked = staged(_measured(docs, text_col, {"base_failed": failed, "votes": own}), "quality-votes")
+    votes = marked.select(F.col(f"`{id_col}`").alias("id"), F.col(own).alias("votes"))
+    good = [(v,) for v, p in _verdicts(votes, labels).items() if p >= least]
     right = F.broadcast(spark.createDataFrame(good, f"{own} string"))
     return marked.where(~F.col(failed)).join(right, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -12,13 +12,12 @@ vocabulary is read; where it fails, texts are merged whole.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm._util import ready
+from gridloom.llm._util import kept, ready
 from gridloom.llm.merging import NEVER, Cache, merge_symbols
 
 MARK = "▁"
@@ -60,11 +59,6 @@ class PieceCounter:
         return sum(map(self.count.__getitem__, _UNIT.findall(text) if self.splits else [text]))
 
 
-@lru_cache(maxsize=2)
-def _counter(path: str, whole: frozenset[str]) -> PieceCounter:
-    return PieceCounter(path, whole)
-
-
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """One row per input row: doc_id, n_bytes (UTF-8), n_tokens as the library counts them, over_limit.
 
@@ -77,7 +71,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        count = _counter(model_path, whole.value)
+        count = kept((model_path, "pieces"), lambda: PieceCounter(model_path, whole.value))
         for batch in batches:
             texts = [x.as_py() or "" for x in batch.column("text")]
             n = [count(x) for x in texts]
