@@ -40,13 +40,11 @@ def kept(key, make):
     return _KEPT[key]
 
 
-def small_batches(batches, column: str | int, size: int = _CHUNK):
+def slices(batches, column: str | int, size: int = _CHUNK):
     """The rows of Arrow batches in slices of about ``size`` bytes of a text column, at least a row each.
 
     A batch may hold ten thousand long texts; what is made of a slice is handed on before the next one is looked at.
-    Workers outlive their tasks, so what one keeps for another operator is let go first.
     """
-    _KEPT.clear()
     for batch in batches:
         length = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(length.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -57,6 +55,12 @@ def small_batches(batches, column: str | int, size: int = _CHUNK):
             at = end
 
 
+def small_batches(batches, column: str | int, size: int = _CHUNK):
+    """:func:`slices` for operators that keep nothing in a worker: what it keeps for another one is let go first."""
+    _KEPT.clear()
+    yield from slices(batches, column, size)
+
+
 def lowered_chunks(texts, lower: bool = True):
     """Lists of the UTF-8 of Arrow strings, of about ``_CHUNK`` bytes in all, with A-Z lowered; null reads as empty."""
     held, size = [], 0

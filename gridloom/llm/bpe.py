@@ -27,11 +27,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._util import kept, ready, staged
+from gridloom.llm._util import kept, ready, slices, staged
 from gridloom.llm.merging import NEVER, Cache, merge_symbols
 from gridloom.session import shared_folder
 
 LEXICON = 50_000
+#: Pieces whose ids a worker knows at a time; fewer where whole rows pass through it.
+PIECES, PIECES_WITH_ROWS = 700_000, 220_000
 #: The vocabulary file's pattern as it reads on printable ASCII without spaces.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _MAGIC = b"GLLEX001"
@@ -138,7 +140,7 @@ class Lexicon:
 class WordTokenizer:
     """Encodes and decodes as the library does with a byte-level word-end vocabulary, with a lexicon before the merges."""
 
-    def __init__(self, path: str, lexicon: Lexicon | None = None):
+    def __init__(self, path: str, lexicon: Lexicon | None = None, pieces: int = PIECES):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -152,8 +154,8 @@ class WordTokenizer:
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.lexicon = lexicon
-        self.piece = Cache(self._piece, 700_000, weigh=lambda found: len(found[0]) + len(found[1] or ""))
-        self.word = Cache(self._word, 250_000, weigh=len)
+        self.piece = Cache(self._piece, pieces, entry=360, weigh=lambda found: len(found[0]) + len(found[1] or ""))
+        self.word = Cache(self._word, 250_000, 100_000_000, weigh=len)
 
     def merged(self, word: str) -> list[int]:
         """Ids of one pre-token by merging."""
@@ -243,15 +245,15 @@ def publish(spark: SparkSession, data: bytes) -> str:
     return name
 
 
-def _tokenizer(path: str, name: str) -> WordTokenizer:
+def _tokenizer(path: str, name: str, pieces: int = PIECES) -> WordTokenizer:
     """One tokenizer a worker: the lexicon is mapped once and pieces met in one task are known in the next."""
-    return kept((path, name), lambda: WordTokenizer(path, Lexicon(SparkFiles.get(name))))
+    return kept((path, name), lambda: WordTokenizer(path, Lexicon(SparkFiles.get(name)), pieces))
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text", words: int = LEXICON) -> DataFrame:
     """All rows and columns, with the columns ``ids`` (array of int) and ``decoded`` in place of any of these names.
 
-    A null or empty text has no id and decodes to the empty text. Repeated rows are all encoded; an empty table gives
+    A null or empty text has no id and decodes to the empty text; a very long one is encoded whole. Repeated rows are all encoded; an empty table gives
     no rows. ``tokenizer_path`` is at the same place on every machine.
     """
     spark = ready(docs)
@@ -260,8 +262,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, text_col: str = "text
     at, schema = source.columns.index(text_col), source.schema
 
     def run(batches):
-        tokenizer = _tokenizer(tokenizer_path, name)
-        for batch in batches:
+        tokenizer = _tokenizer(tokenizer_path, name, PIECES_WITH_ROWS)
+        for batch in slices(batches, at):
             found = [tokenizer.encode(x.as_py()) for x in batch.column(at)]
             ids = pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
@@ -280,7 +282,7 @@ def digest_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
 
     def run(batches):
         tokenizer = _tokenizer(tokenizer_path, name)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             n, ids, decoded = [], [], []
             for text in batch.column("text"):
                 i, t = tokenizer.encode(text.as_py())

@@ -64,20 +64,17 @@ def _merge_long(symbols: list[str], priority: Callable[[str, str], float]) -> li
 class Cache(dict):
     """A dictionary that fills itself and starts anew at ``most`` entries or about ``most_bytes``; only speed depends on it.
 
-    ``weigh`` gives the characters or bytes of a value; keys and values that are long, as in scripts without spaces,
-    fill it with fewer entries.
+    ``weigh`` gives the bytes of a value beside the ``entry`` that every pair takes. Keys and values that are long, as in scripts
+    without spaces, fill it with fewer entries.
     """
 
-    #: What an entry takes besides its characters.
-    ENTRY = 120
-
-    def __init__(self, make: Callable, most: int = 1_000_000, most_bytes: int = 160_000_000, weigh: Callable = lambda value: 0):
+    def __init__(self, make: Callable, most: int = 1_000_000, most_bytes: int = 300_000_000, entry: int = 240, weigh: Callable = lambda value: 0):
         super().__init__()
-        self.make, self.most, self.most_bytes, self.weigh, self.held = make, most, most_bytes, weigh, 0
+        self.make, self.most, self.most_bytes, self.entry, self.weigh, self.held = make, most, most_bytes, entry, weigh, 0
 
     def __missing__(self, key):
         value = self.make(key)
-        size = self.ENTRY + len(key) + self.weigh(value)
+        size = self.entry + len(key) + self.weigh(value)
         self.held += size
         if len(self) >= self.most or self.held > self.most_bytes:
             self.clear()

@@ -105,8 +105,13 @@ class Page:
     """Elements and blocks of text of one page."""
 
     def __init__(self, source: str, by_name: bool = True):
-        # Of each element: parent, path, whether its text is out, whether it may be proposed.
-        self.parent, self.path, self.out, self.fit, self.tag, self.inside = [-1], [""], [False], [False], [""], [False]
+        # Of each element: parent, number of its path, whether its text is out, whether it may be proposed.
+        self.parent, self.path, self.out, self.fit, self.tag, self.inside = [-1], [0], [False], [False], [""], [False]
+        # Paths are numbered by their parent path and last step: as text, those of deep pages would grow with the square of the depth.
+        self._steps: list[tuple[int, str]] = [(-1, "")]
+        self._below: dict[int, dict[str, int]] = {}
+        # Of each tag the depths of the stack at which it is open.
+        self._depths: dict[str, list[int]] = {}
         self.article, self.named = [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self._stack, self._text, self._linked, self._anchor = [0], [], 0, False
@@ -145,15 +150,45 @@ class Page:
             out, named = self._ruled(tag, classes, given.get("id", ""), in_article)
         self.parent.append(up)
         step = ".".join([tag, *sorted(set(re.sub(r"\d+", "9", c.lower()) for c in classes.split()))]) if classes else tag
-        self.path.append(f"{self.path[up]}>{step}")
+        below = self._below.setdefault(self.path[up], {})
+        if step not in below:
+            below[step] = len(self._steps)
+            self._steps.append((self.path[up], step))
+        self.path.append(below[step])
         self.out.append(out)
         self.inside.append(in_article or tag in ("article", "main"))
         self.article.append(self.article[up] or tag == "article")
         self.named.append(named)
         self.fit.append(tag in _CONTAINERS)
         self.tag.append(tag)
+        self._depths.setdefault(tag, []).append(len(self._stack))
         self._stack.append(len(self.parent) - 1)
 
+    def path_text(self, e: int) -> str:
+        """The path of an element as text."""
+        steps, at = [], self.path[e]
+        while at > 0:
+            at, step = self._steps[at]
+            steps.append(">" + step)
+        return "".join(reversed(steps))
+
+    def at_path(self, text: str) -> list[int]:
+        """Elements whose path reads so. A step may hold the mark between steps, so all ways to read it are followed."""
+        found, left = set(), [(0, 0)]
+        while left:
+            at, read = left.pop()
+            if read == len(text) and at:
+                found.add(at)
+            end = text.find(">", read + 1)
+            while text.startswith(">", read):
+                step = text[read + 1 : end if end >= 0 else len(text)]
+                if step in self._below.get(at, ()):
+                    left.append((self._below[at][step], read + 1 + len(step)))
+                if end < 0 or ">" not in "".join(self._below.get(at, ())):
+                    break
+                end = text.find(">", end + 1)
+        return [e for e, p in enumerate(self.path) if p in found]
+
     def _ruled(self, tag: str, classes: str, ident: str, in_article: bool) -> tuple[bool, bool]:
         """Whether an element is out by its names, and whether it is unless it holds prose.
 
@@ -197,17 +232,15 @@ class Page:
         """Close what is open from a depth of the stack on."""
         if any(self.tag[e] not in _INLINE for e in self._stack[depth:]):
             self._flush()
+        for e in self._stack[depth:]:
+            self._depths[self.tag[e]].pop()
         del self._stack[depth:]
 
     def _end_of(self, tags, stop=frozenset()) -> int | None:
         """Depth of the innermost open element with one of the tags, not looking beyond the stops."""
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self.tag[self._stack[depth]]
-            if tag in tags:
-                return depth
-            if tag in stop:
-                return None
-        return None
+        innermost = lambda of: max((d[-1] for t in of if (d := self._depths.get(t))), default=0)
+        depth = innermost(tags)
+        return depth if depth and depth >= innermost(stop) else None
 
     def _read(self, source: str) -> None:
         at, find, size = 0, _TOKEN.search, len(source)
@@ -225,7 +258,7 @@ class Page:
             if tag == "a":
                 self._anchor = not m[1]
             if m[1]:
-                if tag in _INLINE and tag not in map(self.tag.__getitem__, self._stack):
+                if tag in _INLINE and not self._depths.get(tag):
                     continue
                 depth = self._end_of((tag,), _SCOPES - {tag} if tag in _INLINE or tag == "p" else frozenset())
                 if depth is not None:
@@ -312,15 +345,12 @@ class Page:
 
     def whole(self, chosen: set[int]) -> set[int]:
         """For each element the article it lies in, or what part of main holds more text than it that is no link."""
-        plain, out = self.plain(), set()
-        for e in chosen:
-            up = e
-            while self.inside[self.parent[up]] if up else False:
-                up = self.parent[up]
-                if self.article[up] or plain[up] > plain[e]:
-                    e = up
-            out.add(e)
-        return out
+        plain, top = self.plain(), list(range(len(self.parent)))
+        for e in range(1, len(top)):
+            up = self.parent[e]
+            if self.inside[up] and (self.article[up] or plain[up] > plain[e] or top[up] != up):
+                top[e] = top[up]
+        return {top[e] for e in chosen}
 
     def text_of(self, chosen: set[int]) -> str:
         """Blocks below any of the elements, in page order."""
@@ -339,7 +369,7 @@ def read_page(source: str | None) -> Page:
 def extract(source: str | None, path: str | None) -> str:
     """Main text of a page, given the path its host agreed on."""
     page = read_page(source)
-    chosen = {e for e, p in enumerate(page.path) if p == path and not page.out[e]} if path else set()
+    chosen = {e for e in page.at_path(path) if not page.out[e]} if path else set()
     return (page.text_of(page.whole(chosen)) if chosen else "") or page.text_of({page.proposal()[0]})
 
 
@@ -360,7 +390,7 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
                 best, score = page.proposal()
                 if score > 0:
                     hosts.append(host.as_py())
-                    paths.append(page.path[best])
+                    paths.append(page.path_text(best))
                     scores.append(round(score))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())], ["host", "path", "score"])
 
@@ -372,7 +402,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """One row per input row: page_id, url, text, n_chars (code points of the text).
 
     A null or empty page has empty text; pages without a URL or host vote together. Ids may be null; repeated rows vote
-    and are returned as often as they stand. Other columns are not read; an empty table gives no rows.
+    and are returned as often as they stand. A very long or deeply nested page is read in time and memory in proportion.
+    Other columns are not read; an empty table gives no rows.
     """
     ready(pages)
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))

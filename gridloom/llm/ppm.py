@@ -293,7 +293,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and blank texts are the end alone. A null id reads as empty text and is in training. Repeated rows count and
     are returned as often as they stand. With no training document every byte has one chance in 252. An empty table
-    gives no rows. Other columns are not read. ``order`` is 1 to 6.
+    gives no rows. A very long text is one block and is coded whole. Other columns are not read. ``order`` is 1 to 6.
     """
     ready(docs)
     blocked, n = _blocks(docs, id_col, text_col, block_bytes)

@@ -208,7 +208,8 @@ def judge_documents(
     ``kept`` is false where the base rule fails (fewer than 20 words, or over 30 % of words in repeated 8-word windows),
     else whether the posterior reaches ``least``. ``labels`` (id, good) may cover some documents; of contrary labels
     bad counts. A null or empty text has no word, fails the base and is not kept. Repeated rows weigh as often as they
-    stand; ids may be null, which no label meets; other columns are not read; an empty table gives no rows.
+    stand; ids may be null, which no label meets; a very long text is measured whole; other columns are not read; an empty
+    table gives no rows.
     """
     spark = ready(docs)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -22,12 +22,13 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridloom.llm._util import ready
+from gridloom.llm._util import ready, small_batches
 
 #: Fixed values of the plain patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -43,13 +44,16 @@ KINDS = (*BASE_KINDS, "key", "openssh", "jwt")
 _CHAR = r"[A-Za-z0-9+/_-]"
 # A DER sequence starts with byte 0x30 and an OpenSSH key with its mark; line ends may come after the first characters.
 _START = re.compile(rf"(?:M[A-P](?={_CHAR}{{14}})|b3BlbnNzaC1r(?={_CHAR}{{4}}))")
-_PIECE = re.compile(rf"(?:{_CHAR}|\\{{1,8}}/)+")
-_BREAK = re.compile(r"""(?:\\{1,8}[nrt]|["'][ \t]*[+.][ \t]*(?=[\r\n"'\\])|["'\s,;|>*#\\])+""")
+_RUN = re.compile(rf"{_CHAR}+")
+_SLASH = re.compile(r"\\+/")
+# A run of backslashes is taken at once, so that no place in it is tried anew.
+_BREAK = re.compile(r"""(?:\\++[nrt]?|["'][ \t]*[+.][ \t]*(?=[\r\n"'\\])|["'\s,;|>*#])+""")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 # A JSON object starts with a brace, then a quote or white space: "ey" or "ew".
 _TOKEN_START = re.compile(r"(?=e[yw][A-Za-z0-9_-]{8})")
-_TOKEN = re.compile(r"e[yw][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----")
+# One part, with the two that must follow it looked at only.
+_TOKEN = re.compile(r"[A-Za-z0-9_-]++(?=(\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+))")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----")
 _HEADER = re.compile(r"\b(Proc-Type|DEK-Info):[ \t]*([^\s\"']+)|^[ \t\"']*([A-Za-z][A-Za-z0-9-]*):(.*)$", re.M)
 
 Span = tuple[str, int, int]
@@ -145,7 +149,8 @@ def is_openssh_key(data: bytes | None) -> bool:
             return False
     count = int.from_bytes(data[at : at + 4], "big") if at + 4 <= len(data) else 0
     at += 4
-    if not 1 <= count <= 16:
+    # Each key's field takes four bytes at least, so more than fit are refused before they are counted through.
+    if not 1 <= count <= len(data) // 4:
         return False
     for _ in range(count + 1):
         at = field(at)
@@ -154,79 +159,132 @@ def is_openssh_key(data: bytes | None) -> bool:
     return at == len(data)
 
 
-def _wrapped(text: str, at: int, need: int, fully: bool = False) -> tuple[str, int] | None:
-    """So many base64 characters from a place on, over line ends, and where they end; None if there are fewer.
+class Base64:
+    """The base64 of a text as one string, cut over line ends, with where each stretch of it stands in the text.
 
-    Fully: they must not go on, and the end is that of what fills up the last four.
+    Read once for all candidates, so that one that starts anywhere costs what is looked at of it.
     """
-    parts, left = [], need
-    while True:
-        piece = _PIECE.match(text, at)
-        if piece is None:
+
+    def __init__(self, text: str):
+        self._text = text
+        # Of each stretch: where it starts in the text and in the base64, and what of the base64 it goes on to without a
+        # break (a run) and over breaks (a chain); whether a run holds an escaped slash.
+        self._at, self._clean, self._run, self._chain, self._escaped = [], [], [], [], []
+        parts, size = [], 0
+        start = _RUN.search(text)
+        while start:
+            at, first, chain = start.start(), len(self._at), True
+            while chain:
+                run, escaped = len(self._at), False
+                while True:
+                    one = _RUN.match(text, at)
+                    slash = None if one else _SLASH.match(text, at)
+                    if not one and not slash:
+                        break
+                    found = one[0] if one else "/"
+                    self._at.append(at)
+                    self._clean.append(size)
+                    parts.append(found)
+                    size, at, escaped = size + len(found), (one or slash).end(), escaped or not one
+                count = len(self._at) - run
+                self._run += [size] * count
+                self._escaped += [escaped] * count
+                gap = _BREAK.match(text, at) if count else None
+                chain = gap is not None
+                last, at = at, gap.end() if gap else at
+            self._chain += [size] * (len(self._at) - first)
+            start = _RUN.search(text, max(at, last))
+        self.data = "".join(parts)
+
+    def place(self, at: int) -> tuple[int, int]:
+        """Where the base64 at a place of the text starts, and where its chain ends."""
+        k = bisect_right(self._at, at) - 1
+        return self._clean[k] + at - self._at[k], self._chain[k]
+
+    def read(self, start: int, end: int, at: int, size: int) -> bytes | None:
+        """So many bytes from an offset on of what starts at a place; None if the chain ends before."""
+        first = start + at // 3 * 4
+        last = first - (-4 * (at % 3 + size) // 3)
+        data = decode64(self.data[first:last]) if last <= end else None
+        return data[at % 3 : at % 3 + size] if data else None
+
+    def end_of(self, start: int, need: int) -> int | None:
+        """Where in the text so many characters end that must not go on; None if they do."""
+        end = start + need
+        k = bisect_right(self._clean, end - 1) - 1
+        if end == self._run[k]:
+            while k + 1 < len(self._clean) and self._clean[k + 1] < end:
+                k += 1
+            place = self._at[k] + (end - self._clean[k]) if self._text[self._at[k]] != "\\" else _SLASH.match(self._text, self._at[k]).end()
+            last = place
+            while last < len(self._text) and self._text[last] == "=" and last < place + 2:
+                last += 1
+            return last
+        # A "-" or "_" after standard base64 is not part of it.
+        if self.data[end] not in "-_" or self._escaped[k]:
             return None
-        run = piece[0].replace("\\", "")
-        if len(run) >= left:
-            break
-        parts.append(run)
-        left -= len(run)
-        gap = _BREAK.match(text, piece.end())
-        if gap is None:
+        if self.data.find("-", start, end) >= 0 or self.data.find("_", start, end) >= 0:
             return None
-        at = gap.end()
-    parts.append(run[:left])
-    found = "".join(parts)
-    if not fully:
-        return found, piece.end()
-    if len(run) == left:
-        end = piece.end()
-        while end < len(text) and text[end] == "=" and end < piece.end() + 2:
-            end += 1
-        return found, end
-    # A "-" or "_" after standard base64 is not part of it.
-    if run[left] not in "-_" or "-" in found or "_" in found or "\\" in piece[0]:
-        return None
-    return found, piece.start() + left
+        return self._at[k] + (end - self._clean[k])
 
 
-def _key_at(text: str, at: int) -> tuple[str, int] | None:
-    """Kind and end of a key that starts at a place in base64, as long as its own lengths say."""
+def _header(stream: Base64, start: int, end: int, at: int) -> tuple[int, int, int] | None:
+    """Tag, start and end of the contents of the DER element at an offset, its length read but not what it holds."""
+    head = stream.read(start, end, at, 2)
+    if head is None:
+        return None
+    width = head[1] & 0x7F if head[1] > 0x80 else 0
+    if head[1] == 0x80 or width > 4:
+        return None
+    size = head[1]
+    if width:
+        more = stream.read(start, end, at + 2, width)
+        if more is None:
+            return None
+        size = int.from_bytes(more, "big")
+    return head[0], at + 2 + width, at + 2 + width + size
 
-    def head(size: int) -> bytes | None:
-        need = -(-size * 4 // 3)
-        some = _wrapped(text, at, need) if need <= len(text) - at else None
-        return decode64(some[0]) if some else None
 
+def _key_at(stream: Base64, text: str, at: int) -> tuple[str, int] | None:
+    """Kind and end of a key that starts at a place in base64, as long as its own lengths say.
+
+    Lengths are followed one by one and refused at the first that does not fit; only what passes is decoded.
+    """
+    start, end = stream.place(at)
     if text[at] == "b":
         kind, check, size = "openssh", is_openssh_key, len(b"openssh-key-v1\x00")
-        fields, count = 3, None
+        fields, counted = 3, False
         while fields:
-            data = head(size + 4)
-            if data is None:
+            length = stream.read(start, end, size, 4)
+            if length is None:
                 return None
-            size += 4 + int.from_bytes(data[size : size + 4], "big")
+            size += 4 + int.from_bytes(length, "big")
             fields -= 1
-            if not fields and count is None:
-                data = head(size + 4)
-                count = int.from_bytes(data[size : size + 4], "big") if data else 0
-                if not 1 <= count <= 16:
+            if not fields and not counted:
+                number = stream.read(start, end, size, 4)
+                size, fields, counted = size + 4, int.from_bytes(number or b"", "big") + 1, True
+                if fields < 2:
                     return None
-                size, fields = size + 4, count + 1
     else:
-        kind, check, data = "key", is_der_key, decode64(text[at : at + 16])
-        if not data or data[0] != 0x30 or data[1] == 0x80:
+        kind, check, top = "key", is_der_key, _header(stream, start, end, 0)
+        if top is None or top[0] != 0x30 or start - (-4 * top[2] // 3) > end:
             return None
-        width = data[1] & 0x7F if data[1] > 0x80 else 0
-        if width > 4 or data[2 + width] not in (0x02, 0x30):
-            return None
-        size = 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+        size, inner = top[2], top[1]
+        while inner < size:
+            one = _header(stream, start, end, inner)
+            if one is None or one[2] > size or inner == top[1] and one[0] not in (0x02, 0x30):
+                return None
+            inner = one[2]
     need = -(-size * 4 // 3)
-    some = _wrapped(text, at, need, fully=True) if 32 <= need <= len(text) - at else None
-    return (kind, some[1]) if some and check(decode64(some[0])) else None
+    if need < 32 or start + need > end:
+        return None
+    last = stream.end_of(start, need)
+    return (kind, last) if last is not None and check(decode64(stream.data[start : start + need])) else None
 
 
 def _armoured(body: str) -> str | None:
     """Kind of the key that stands between the marks of armour, with or without header lines."""
-    body = re.sub(r"\\{1,8}[nr]", "\n", body).replace("\\t", " ")
+    body = re.sub(r"(?<!\\)\\+[nr]", "\n", body).replace("\\t", " ")
     headers = {}
 
     def note(m) -> str:
@@ -255,6 +313,21 @@ def _may_start(text: str, at: int, glue: str) -> bool:
     return before in "nrt" and text[at - 2 : at - 1] == "\\"
 
 
+def _starts_object(text: str, at: int, end: int) -> bool:
+    """Whether base64 may hold a JSON object, by beginnings of twice the length each time until one shows that it does not."""
+    size = 96
+    while size < end - at:
+        try:
+            json.loads((decode64(text[at : at + size]) or b"").decode("utf-8", "ignore"))
+        except json.JSONDecodeError as e:
+            if e.pos < size * 3 // 4 - 16 and not e.msg.startswith(("Unterminated string", "Invalid \\")):
+                return False
+        except RecursionError:
+            return False
+        size *= 2
+    return True
+
+
 def is_signed_token(text: str) -> bool:
     """Whether text is header.payload.signature with a JSON header that names an algorithm and a JSON payload."""
     parts = text.split(".")
@@ -288,14 +361,15 @@ def structural_spans(text: str) -> list[Span]:
             kind = _armoured(text[m.end() : end]) if end >= 0 and text.startswith(last, end) else None
             if kind:
                 found.append((kind, m.start(), end + len(last)))
-    armoured, inside, at = list(found), 0, 0
+    armoured, inside, at, stream = list(found), 0, 0, None
     for m in _START.finditer(text):
         start = m.start()
         while inside < len(armoured) and armoured[inside][2] <= start:
             inside += 1
         if start < at or inside < len(armoured) and armoured[inside][1] <= start or not _may_start(text, start, "+"):
             continue
-        key = _key_at(text, start)
+        stream = stream or Base64(text)
+        key = _key_at(stream, text, start)
         if key:
             found.append((key[0], start, key[1]))
             at = key[1]
@@ -306,11 +380,14 @@ def structural_spans(text: str) -> list[Span]:
             found.append(("openssh", *m.span()))
     if ("ey" in text or "ew" in text) and "." in text:
         at = 0
-        for m in _TOKEN_START.finditer(text):
-            one = _TOKEN.match(text, m.start()) if m.start() >= at and _may_start(text, m.start(), "") else None
-            if one and is_signed_token(one[0]):
-                found.append(("jwt", *one.span()))
-                at = one.end()
+        for part in _TOKEN.finditer(text):
+            # The leftmost start in a part from which it and the next two are a token.
+            for m in _TOKEN_START.finditer(text, max(at, part.start()), part.end()):
+                start = m.start()
+                if _may_start(text, start, "") and _starts_object(text, start, part.end()) and is_signed_token(text[start : part.end(1)]):
+                    found.append(("jwt", start, part.end(1)))
+                    at = part.end(1)
+                    break
     return found
 
 
@@ -329,13 +406,11 @@ def redact(text: str | None, mark: str = "[SECRET]") -> str | None:
     if not text:
         return text
     out, at = [], 0
-    spans = sorted((a, b) for _, a, b in find_secrets(text))
-    while spans:
-        start, end = spans.pop(0)
-        while spans and spans[0][0] < end:
-            end = max(end, spans.pop(0)[1])
-        out += [text[at:start], mark]
-        at = end
+    for start, end in sorted((a, b) for _, a, b in find_secrets(text)):
+        # A span that starts within the stretch before only makes that longer; spans that touch stay apart.
+        if start >= at or not out:
+            out += [text[at:start], mark]
+        at = max(at, end)
     return "".join([*out, text[at:]])
 
 
@@ -347,13 +422,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: doc_id, counts of the plain kinds, SHA-256 of the plain spans, and all spans.
 
     A null or empty text has no span (the digest is that of nothing, ``spans`` is empty). Ids may be null or repeated:
-    each row is scanned by itself. Other columns are not read; an empty table gives no rows.
+    each row is scanned by itself. A very long text is read whole; a candidate costs what is looked at before its lengths
+    do not fit. Other columns are not read; an empty table gives no rows.
     """
     ready(docs)
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             base, every = [], []
             for text in batch.column("text"):
                 spans = find_secrets(text.as_py())
@@ -371,12 +447,16 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_documents(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """All rows and columns, with the secrets in the text column marked out; a null text stays null."""
+    """All rows and columns, with the secrets in the text column marked out.
+
+    A null text stays null, an empty one empty; a very long one is read whole. Rows that repeat stay as often as they
+    stand, ids are not looked at, and an empty table gives no rows.
+    """
     ready(docs)
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches, at):
             texts = pa.array([redact(x.as_py(), mark) for x in batch.column(at)], batch.schema.field(at).type)
             yield batch.set_column(at, batch.schema.field(at), texts)
 

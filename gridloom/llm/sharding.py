@@ -3,8 +3,12 @@
 Groups are sorted by size, and each goes to the least-loaded shard, taken from a heap. A schedule over every group would
 pass all of them through one place, so groups smaller than a fixed share of an even shard are first bundled: a group's
 key deals it to one of ``BUNDLES`` bundles. What is scheduled is then at most ``BUNDLES`` bundles and, since their
-sizes add up to the whole, at most ``shards * FINENESS`` larger groups, at any size of input. A bundle is far smaller
-than a shard, so the loads differ by no more than the largest bundle unless one group alone outweighs a shard.
+sizes add up to the whole, at most ``shards * FINENESS`` larger groups, at any size of input.
+
+What bundling costs: the last unit on the fullest shard was put there when that shard was the least loaded, so the fullest and the
+emptiest shard differ by at most that unit, which is a bundle or an own group unless the shard holds one group alone.
+The longest-first schedule over single groups has the same bound with its last group for the unit. Bundles are even by
+hash: with ``BUNDLES`` of them and 16 shards one is about 1 / 512 of a shard.
 """
 
 from __future__ import annotations
@@ -39,8 +43,8 @@ def longest_first(sizes: list[tuple[object, int]], shards: int) -> dict[object,
 def assign_shards(rows: DataFrame, size: str, group: str, shards: int = SHARDS, fineness: int = FINENESS, bundles: int = BUNDLES) -> DataFrame:
     """The rows with a column ``shard``; rows of equal ``group`` share one, and the sums of ``size`` are near equal.
 
-    ``group`` is a string (null counts as one more group), ``size`` a non-negative long (null counts as 0). Shards stay
-    empty if there are fewer groups than shards. An empty table gives no rows.
+    ``group`` is a string (null goes with the empty string), ``size`` a non-negative long (null counts as 0). Shards stay
+    empty if there are fewer groups than shards. A column ``shard`` of the rows is replaced. An empty table gives no rows.
     """
     spark = ready(rows)
     key = F.coalesce(F.col(group), F.lit(""))
@@ -81,8 +85,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: doc_id, size (UTF-8 bytes of the text and 1), text_crc32, law, shard, slot, grown_shard.
 
     The law is ``bytes``: rows with equal texts stay together, shards are near equal in bytes, and ``grown_shard`` is
-    null. A null text has size 1 and the checksum of nothing, and goes with the empty texts. Repeated rows are all
-    placed. Other columns are not read. An empty table gives no rows.
+    null. A null text has size 1 and the checksum of nothing, and goes with the empty texts. A very long text that outweighs
+    a shard has one to itself. Repeated rows are all placed. Other columns are not read. An empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = staged(

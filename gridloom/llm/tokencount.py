@@ -40,7 +40,7 @@ class PieceCounter:
             re.search(f"[^{MARK}]{MARK}", p) or len(p) > 1 and re.search("[\n\t]", p) for p in self.rank
         )
         self.whole = frozenset(p for p in self.rank if self.merged(p) == [p]) if whole is None else whole
-        self.count = Cache(self.count_unit)
+        self.count = Cache(self.count_unit, most_bytes=200_000_000)
 
     def merged(self, unit: str) -> list[str]:
         rank = self.rank.get
@@ -63,8 +63,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """One row per input row: doc_id, n_bytes (UTF-8), n_tokens as the library counts them, over_limit.
 
     ``model_path`` is a sentencepiece byte-pair model with the identity normaliser and a leading space mark, at the
-    same place on every machine. Special strings in a text are text. A null or empty text has no byte and no token. Ids
-    may be null or repeated; other columns are not read; an empty table gives no rows.
+    same place on every machine. Special strings in a text are text. A null or empty text has no byte and no token; a
+    very long one is counted whole. Ids may be null or repeated; other columns are not read; an empty table gives no rows.
     """
     spark = ready(docs)
     whole = spark.sparkContext.broadcast(PieceCounter(model_path).whole)

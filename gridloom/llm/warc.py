@@ -255,7 +255,7 @@ def _records(data: bytes, payloads: bool) -> pa.RecordBatch:
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write pages (page_id, url, html) into bundles and read them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Nulls, ties, repeated rows and empty tables as in :func:`write_bundles`; other columns are not read.
+    Nulls, ties, repeated rows, very long pages and empty tables as in :func:`write_bundles`; other columns are not read.
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
     return read_bundles(write_bundles(pages, folder), payloads=False).select(

@@ -64,3 +64,13 @@ def test_generated_leaks(spark, sample):
     items = {r.item_id: " ".join(words(r.text)) for r in bench.collect()}
     whole = {(r.doc_id, i) for r in sample.collect() for i, t in items.items() if f" {t} " in f" {' '.join(words(r.text))} "}
     assert whole and {(r.doc_id, r.item_id) for r in D.find_leaks(sample, bench).collect()} == whole
+
+
+def test_items_shorter_than_the_least_match(spark):
+    bench = spark.createDataFrame([(1, "Abc def"), (2, "one, two; three four"), (3, "solo"), (4, " . "), (5, None), (6, "abc DEF")], "item_id long, text string")
+    rows = [(1, "xx abc def yy"), (2, "abc xx def"), (3, "one two three"), (4, "One two three FOUR"), (5, "solo"), (6, "solos"), (7, ""), (8, "def abc abc def abc def")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_tiles, r.longest_tile, r.covered_words, r.item_words, r.coverage) for r in D.find_leaks(docs, bench).collect())
+    want = [(1, 1, 2), (1, 6, 2), (4, 2, 4), (5, 3, 1), (8, 1, 2), (8, 6, 2)]
+    assert got == [(d, i, 1, n, n, n, 1.0) for d, i, n in want]
+    assert sorted(r.doc_id for r in D.drop_leaking(docs, bench).collect()) == [2, 3, 6, 7]

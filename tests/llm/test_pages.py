@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from gridloom.llm import pages as G
 
@@ -82,3 +83,22 @@ def test_names_of_chrome_do_not_cut_prose_out_of_an_article():
         assert G.extract(f"<body><{tag}>{''.join(parts + chrome)}</{tag}></body>", None) == want
     page = f"<body><div class=story><h1>Head</h1><p>{said}</p>{''.join(parts[:4])}{''.join(chrome[:4])}</div><div class='sidebar-x'>more</div></body>"
     assert G.extract(page, None) == f"Head\n\n{said}\n\nRelated work\n\nShort.\n\n{said}\n\n{said}\n\nThe word stays."
+
+
+def test_deep_and_broken_nesting():
+    """Paths are not stored as text, and open elements are found by tag: 60,000 levels take seconds, not the square."""
+    start, deep = time.time(), "<html><body>" + "<div class=x>" * 60_000 + "<p>" + "some words of an article " * 20
+    page = G.read_page(deep)
+    path = page.path_text(page.proposal()[0])
+    assert G.extract(deep, path) == ("some words of an article " * 20).strip()
+    odd = "<td>" + "<div>" * 30_000 + "</b></p>" * 30_000 + "<article>" + "<span class=a>" * 30_000 + "x"
+    assert G.extract(odd, None) == "x"
+    assert time.time() - start < 60
+
+
+def test_paths_are_read_back():
+    page = G.read_page('<div><div class="a>b"><p>one</p></div><div class="a"><div class="b"><p>two</p></div></div></div>')
+    for e in range(1, len(page.path)):
+        assert e in page.at_path(page.path_text(e))
+        assert {page.path_text(x) for x in page.at_path(page.path_text(e))} == {page.path_text(e)}
+    assert page.at_path("") == page.at_path(">div>none") == page.at_path("div") == []
