@@ -360,6 +360,22 @@ fx_edge AS (SELECT p, count(*) AS n FROM fx_unit u, (VALUES (1, 0), (-1, 0), (0,
 FROM (SELECT {gid('cx', 'cy', 4)} AS p, count(*) AS n_cells, CAST(sum(side * side) AS BIGINT) AS area FROM fx_cells GROUP BY 1) c
 JOIN fx_edge e ON e.p = c.p""")
 
+    # Sides of 200 m with the cell on their left, linked end to start; where two start, the left turn goes on. A walk
+    # from each side ends at a smaller number or at itself, and then it is its ring's first side.
+    q["dissolve_polygons"] = _w(CELLS + f""",
+fx_unit AS (SELECT {gid('cx', 'cy', 4)} AS p, (cx - side // 2) // 200 + i AS ux, (cy - side // 2) // 200 + j AS uy
+  FROM fx_cells, range(5) a(i), range(5) b(j) WHERE i < side // 200 AND j < side // 200),
+fx_side AS (SELECT row_number() OVER () AS id, p, d, ux + sx AS x, uy + sy AS y, ux + sx + ex AS x2, uy + sy + ey AS y2
+  FROM fx_unit u, (VALUES (0, 0, -1, 0, 0, 1, 0), (1, 1, 0, 1, 0, 0, 1), (2, 0, 1, 1, 1, -1, 0), (3, -1, 0, 0, 1, 0, -1)) v(d, dx, dy, sx, sy, ex, ey)
+  WHERE NOT EXISTS (SELECT 1 FROM fx_unit w WHERE w.p = u.p AND w.ux = u.ux + dx AND w.uy = u.uy + dy)),
+fx_next AS (SELECT a.id, a.p, arg_max(b.id, CAST(b.d = (a.d + 1) % 4 AS INTEGER)) AS nxt, max(CAST(a.d <> b.d AS INTEGER)) AS turn, any_value(a.x * a.y2 - a.x2 * a.y) AS twice
+  FROM fx_side a JOIN fx_side b ON b.p = a.p AND b.x = a.x2 AND b.y = a.y2 GROUP BY a.id, a.p),
+fx_walk(s, p, c, turns, twice) AS (SELECT id, p, nxt, turn, twice FROM fx_next
+  UNION ALL SELECT s, w.p, n.nxt, w.turns + n.turn, w.twice + n.twice FROM fx_walk w JOIN fx_next n ON n.id = w.c WHERE w.c > s),
+fx_ring AS (SELECT p, turns, twice * 20000 AS area FROM fx_walk WHERE c = s)""", """SELECT p AS gid_l4, count(*) FILTER (WHERE area > 0) AS n_shells, count(*) FILTER (WHERE area < 0) AS n_holes,
+  CAST(sum(turns) AS BIGINT) AS n_vertices, CAST(sum(area) AS BIGINT) AS area_m2, CAST(sum(area) FILTER (WHERE area > 0) AS BIGINT) AS shell_m2
+FROM fx_ring GROUP BY p""").replace("WITH", "WITH RECURSIVE", 1)
+
     # ---- compact grid
     compact = "gid, CAST(pop AS BIGINT) AS pop, pop_fem_perc, CAST(dom_ocu AS BIGINT) AS dom_ocu, is_cache"
     q["compact_encode"] = _w(COMPACT, f"SELECT {compact} FROM fx_compact WHERE NOT is_cache")
@@ -431,7 +447,7 @@ fx_xy AS (SELECT event_id, x, y FROM fx_p WHERE x IS NOT NULL AND y IS NOT NULL)
 
     # ---- verification and quality
     q["check_names"] = _w(_FAULTY, f"""SELECT id_unico, id_unico = CASE WHEN side = 200 THEN t6 ELSE t5 END AS is_unico, {_FLAGS}
-FROM fx_faulty WHERE gid % 13 <> 0""")
+FROM fx_faulty""")
     q["check_uri_names"] = _w(_FAULTY + """,
 fx_named AS (SELECT * REPLACE (CASE WHEN pop % 13 = 0 THEN 'X' || id_unico ELSE id_unico END AS id_unico) FROM fx_faulty)""",
         f"SELECT id_unico, CASE WHEN id_unico <> nome_1km THEN id_unico = t6 END AS is_name200m, {_FLAGS} FROM fx_named")

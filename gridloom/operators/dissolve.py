@@ -24,30 +24,36 @@ def _corner(axis: str) -> str:
 
 def _unshared(sides: DataFrame, *more: str) -> DataFrame:
     """Sides that only one cell of the parent has."""
-    return sides.groupBy("parent", "x", "y", "vertical", *more).count().filter("count = 1").drop("count")
+    one = sides.groupBy("parent", "x", "y", "vertical", *more).agg(F.count(F.lit(1)).alias("count"), F.max("d").alias("d"))
+    return one.filter("count = 1").drop("count")
 
 
-def outline_segments(cells: DataFrame, parent_level: int = 4) -> DataFrame:
-    """Outer sides of the union of the cells of each parent: ``parent, x, y, vertical, length``.
+def outline_units(cells: DataFrame, parent_level: int = 4) -> DataFrame:
+    """Outer sides of the union of the cells of each parent in 200 m pieces: ``parent, x, y, vertical, d``.
 
-    (x, y) is the lower or left end of a segment. Sides shared by two cells cancel
-    in pairs, by counting and never by comparing cells. Equal cells cancel at full
-    length first; only surviving long sides are cut into 200 m pieces, which then
-    cancel against 200 m neighbours.
+    (x, y) is the lower or left end of a piece; ``d`` is its direction with the cell on its left: 0 east, 1 north, 2
+    west, 3 south. Sides shared by two cells cancel in pairs, by counting and never by comparing cells. Equal cells
+    cancel at full length first; only surviving long sides are cut into 200 m pieces, which then cancel against 200 m
+    neighbours.
     """
     x0, y0, size = _corner("x"), _corner("y"), level_to_size.sql(gid_level.sql("gid"))
     placed = cells.selectExpr(f"{_parent(parent_level)} AS parent", f"{x0} AS x0", f"{y0} AS y0", f"{size} AS length")
     sides = ", ".join(
-        struct(x=x, y=y, vertical=v)
-        for x, y, v in (
-            ("x0", "y0", "true"), ("x0 + length", "y0", "true"), ("x0", "y0", "false"), ("x0", "y0 + length", "false")
+        struct(x=x, y=y, vertical=v, d=d)
+        for x, y, v, d in (
+            ("x0", "y0", "true", 3), ("x0 + length", "y0", "true", 1), ("x0", "y0", "false", 0), ("x0", "y0 + length", "false", 2)
         )
     )
     free = _unshared(placed.selectExpr("parent", "length", f"inline(array({sides}))"), "length")
     pieces = free.selectExpr("*", f"explode(sequence(0L, length - {UNIT}L, {UNIT}L)) AS step").selectExpr(
-        "parent", "x + IF(vertical, 0L, step) AS x", "y + IF(vertical, step, 0L) AS y", "vertical"
+        "parent", "x + IF(vertical, 0L, step) AS x", "y + IF(vertical, step, 0L) AS y", "vertical", "d"
     )
-    return _unshared(pieces).selectExpr("*", f"{UNIT}L AS length")
+    return _unshared(pieces)
+
+
+def outline_segments(cells: DataFrame, parent_level: int = 4) -> DataFrame:
+    """Outer sides of the union of the cells of each parent: ``parent, x, y, vertical, length``, of 200 m each."""
+    return outline_units(cells, parent_level).selectExpr("parent", "x", "y", "vertical", f"{UNIT}L AS length")
 
 
 def dissolve(cells: DataFrame, parent_level: int = 4) -> DataFrame:
