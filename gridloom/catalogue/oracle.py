@@ -445,7 +445,32 @@ fx_near AS (SELECT event_id, level,
     q["nearest_uri"] = q["nearest_cell"].replace(XY, URI_U + "," + URI_XY + """,
 fx_xy AS (SELECT event_id, x, y FROM fx_p WHERE x IS NOT NULL AND y IS NOT NULL)""")
 
+    q["locate_any_boxes"] = _w(CELLS + "," + XY + """,
+fx_box AS (SELECT k, x0, y0, 100 * (CAST(1 AS BIGINT) << least(14, bit_count((k & -k) - 1))) AS h FROM fx_blocks)""",
+        "SELECT event_id, k FROM fx_xy p JOIN fx_box b ON p.x BETWEEN b.x0 - h AND b.x0 + h AND p.y BETWEEN b.y0 - h AND b.y0 + h")
+    q["sql_rebuild_cell"], q["sql_rebuild_quadrant"] = q["rebuild_original"], q["rebuild_quadrant"]
+    inside = f"{quadrant('cx', 'cy')} = {ONE_QUADRANT}"
+    changed = COMPACT.replace("FROM fx_cells)", f"""FROM (SELECT * REPLACE (CASE WHEN {inside} THEN pop + 7 ELSE pop END AS pop)
+  FROM fx_cells WHERE NOT ({inside} AND pop % 5 = 0)) z)""")
+    q["replace_quadrant"] = _w(changed, f"SELECT {compact} FROM fx_compact")
+
     # ---- verification and quality
+    q["ring_simplified"] = _w(CELLS, """SELECT gid, CAST(5 + CAST(pop % 3 = 2 AS INTEGER) AS BIGINT) AS n_vertices,
+  CAST(side * side - CASE WHEN pop % 3 = 2 THEN side ELSE 0 END AS DOUBLE) AS area FROM fx_cells""")
+    rules = [
+        ("gid", "type", "false"), ("gid", "required", "gid IS NULL"), ("pop", "type", "pop_text IS NOT NULL AND TRY_CAST(pop_text AS BIGINT) IS NULL"),
+        ("pop", "minimum", "TRY_CAST(pop_text AS BIGINT) < 1"), ("pop", "maximum", "TRY_CAST(pop_text AS BIGINT) > 890"),
+        ("dom_ocu", "type", "false"), ("dom_ocu", "required", "dom_ocu IS NULL"),
+        ("name", "maxLength", "length(nm) > 15"), ("name", "pattern", r"NOT regexp_full_match(nm, '\d+K?ME\d+N\d+')"), ("flag", "enum", "flag NOT IN ('t', 'f')"),
+        ("gid", "unique", "gid IS NOT NULL AND same_gid > 1"), ("gid,flag", "primaryKey", "same > 1 OR gid IS NULL OR flag IS NULL"),
+    ]
+    q["descriptor_check"] = _w(ORIGINAL + """,
+fx_twice AS (SELECT * FROM fx_original UNION ALL SELECT * FROM fx_original WHERE pop % 101 = 0),
+fx_bad AS (SELECT gid, CASE WHEN pop % 97 = 0 THEN 'about ' || pop ELSE CAST(pop AS VARCHAR) END AS pop_text, CASE WHEN pop % 89 = 0 THEN NULL ELSE dom_ocu END AS dom_ocu,
+  CASE WHEN pop % 83 = 0 THEN 'M200' ELSE id_unico END AS nm,
+  CASE WHEN pop % 79 = 0 THEN NULL WHEN pop % 73 = 0 THEN 'maybe' WHEN side = 1000 THEN 't' ELSE 'f' END AS flag FROM fx_twice),
+fx_key AS (SELECT *, concat_ws(',', CAST(gid AS VARCHAR), flag) AS k, count(*) OVER (PARTITION BY gid) AS same_gid, count(*) OVER (PARTITION BY gid, flag) AS same FROM fx_bad)""",
+        " UNION ALL ".join(f"SELECT '{f}' AS field, '{r}' AS rule, count(*) FILTER (WHERE {bad}) AS n_bad, min(k) FILTER (WHERE {bad}) AS least_key FROM fx_key" for f, r, bad in rules))
     q["check_names"] = _w(_FAULTY, f"""SELECT id_unico, id_unico = CASE WHEN side = 200 THEN t6 ELSE t5 END AS is_unico, {_FLAGS}
 FROM fx_faulty""")
     q["check_uri_names"] = _w(_FAULTY + """,

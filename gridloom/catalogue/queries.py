@@ -14,7 +14,8 @@ from gridloom.catalogue.oracle import ONE_CELL, ONE_QUADRANT
 from gridloom.functions.levels import SIDES
 from gridloom.operators import compare, containment, dissolve, locate, nearest, polygons, pyramid, resolve
 from gridloom.operators.points import locate_uris, with_geohash, with_latlon, with_xy
-from gridloom.plans import load, rebuild, reports, verify, views
+from gridloom.plans import descriptor, load, rebuild, reports, tables, verify, views
+from gridloom.plans import quadrants as by_quadrant
 from gridloom.session import scratch_path
 from gridloom.sources import compact as compact_io
 from gridloom.sources import control, geojson, manifest
@@ -441,6 +442,16 @@ def locate_bbox(spark, sf_dir):
     return locate.locate_in_boxes(I.stored_points(spark, sf_dir), boxes).select("event_id", "gid")
 
 
+@query
+def locate_any_boxes(spark, sf_dir):
+    """Boxes of 200 m to over 3,000 km, half of them twice as wide as the rest, again and again."""
+    half = "shiftleft(100L, least(14, int(bit_count((k & -k) - 1)))) AS h"
+    boxes = I.blocks(spark, sf_dir).selectExpr("k", "x0", "y0", half).selectExpr(
+        "k", "x0 - h AS xmin", "y0 - h AS ymin", "x0 + h AS xmax", "y0 + h AS ymax"
+    )
+    return locate.locate_in_any_boxes(I.stored_points(spark, sf_dir), boxes).select("event_id", "k")
+
+
 def _near(spark, sf_dir, find):
     compact = _by_level(spark, sf_dir).filter("level >= 5")
     points = I.stored_points(spark, sf_dir).selectExpr("*", "explode(array(5, 6)) AS level")
@@ -466,8 +477,68 @@ def nearest_uri(spark, sf_dir):
     return big(_near(spark, sf_dir, find).select("event_id", "level", "gid"))
 
 
+@query
+def sql_rebuild_cell(spark, sf_dir):
+    _by_level(spark, sf_dir).createOrReplaceTempView("stored_compact_grid")
+    tables.register_table_functions(spark, "stored_compact_grid")
+    return big(spark.sql(f"SELECT * FROM rebuild_cell({ONE_CELL}L, NULL)"))
+
+
+@query
+def sql_rebuild_quadrant(spark, sf_dir):
+    _by_level(spark, sf_dir).createOrReplaceTempView("stored_compact_grid")
+    tables.register_table_functions(spark, "stored_compact_grid")
+    return big(spark.sql(f"SELECT * FROM rebuild_quadrant({ONE_QUADRANT})"))
+
+
+@query
+def replace_quadrant(spark, sf_dir):
+    """One quadrant of a stored grid replaced by changed rows."""
+    path, original = scratch_path(spark, "grid-by-quadrant"), I.read_stored_original(spark, sf_dir)
+    by_quadrant.store_by_quadrant(original, path)
+    changed = original.filter(f"quadrante = 'ID_{ONE_QUADRANT}' AND pop % 5 <> 0").withColumn("pop", F.col("pop") + 7)
+    by_quadrant.replace_quadrant(changed, path, ONE_QUADRANT)
+    return big(by_quadrant.open_by_quadrant(spark, path).select(*pyramid.COMPACT_COLUMNS))
+
+
 # ------------------------------------------------------------------ verification and quality
 
+#: A descriptor's schema with every kind of rule.
+DESCRIPTOR = {
+    "fields": [
+        {"name": "gid", "type": "integer", "constraints": {"required": True, "unique": True}},
+        {"name": "pop", "type": "integer", "constraints": {"minimum": 1, "maximum": 890}},
+        {"name": "dom_ocu", "type": "integer", "constraints": {"required": True}},
+        {"name": "name", "type": "string", "constraints": {"pattern": r"\d+K?ME\d+N\d+", "maxLength": 15}},
+        {"name": "flag", "type": "string", "constraints": {"enum": ["t", "f"]}},
+    ],
+    "primaryKey": ["gid", "flag"],
+}
+
+
+@query
+def descriptor_check(spark, sf_dir):
+    rows = I.stored_cells(spark, sf_dir)
+    faulty = rows.unionByName(rows.filter("pop % 101 = 0")).selectExpr(
+        "gid", "IF(pop % 97 = 0, concat('about ', pop), string(pop)) AS pop", "IF(pop % 89 = 0, NULL, dom_ocu) AS dom_ocu",
+        f"IF(pop % 83 = 0, 'M200', {G.gid_to_name.sql('gid')}) AS name",
+        "CASE WHEN pop % 79 = 0 THEN NULL WHEN pop % 73 = 0 THEN 'maybe' WHEN lvl = 5 THEN 't' ELSE 'f' END AS flag",
+    )
+    return descriptor.validate(faulty, DESCRIPTOR)
+
+
+@query
+def ring_simplified(spark, sf_dir):
+    """Squares with vertices in the middle of their sides, one of them up to two metres aside; one metre is let pass."""
+    c = I.stored_cells(spark, sf_dir).selectExpr(
+        "gid", f"{G.center_x.sql('gid')} AS cx", f"{G.center_y.sql('gid')} AS cy", "IF(lvl = 6, 100L, 500L) AS h", "pop % 3 AS d"
+    )
+    corners = [("cx", "cy + h"), ("cx - h", "cy + h"), ("cx - h", "cy - h"), ("cx", "cy - h + d"), ("cx + h", "cy - h"), ("cx + h", "cy"), ("cx + h", "cy + h"), ("cx", "cy + h")]
+    ring = "array(" + ", ".join(f"named_struct('x', double({x}), 'y', double({y}))" for x, y in corners) + ")"
+    simple = c.selectExpr("gid", f"{G.ring_simplify.sql(ring, '1D')} AS ring")
+    return simple.selectExpr("gid", "bigint(size(ring)) AS n_vertices", f"{G.ring_area.sql('ring')} AS area")
+
+
 @query
 def check_names(spark, sf_dir):
     # Every row also stands under the name of a place where the compact grid has no cell; those are not found.

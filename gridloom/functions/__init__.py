@@ -72,7 +72,7 @@ from gridloom.functions.shapes import (
     parts_contain,
     ring_area,
     ring_centroid,
-    ring_contains,
+    ring_contains, ring_simplify,
     ring_to_wkt,
     ring_to_xy,
     square,

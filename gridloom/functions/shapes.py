@@ -245,6 +245,34 @@ def square_contains(gid, x, y) -> str:
     return f"(abs({x} - {center_x.sql(gid)}) < {half} AND abs({y} - {center_y.sql(gid)}) < {half})"
 
 
+# ---------------------------------------------------------------- simplification
+
+@grid_function(f"ring {RING}, tolerance DOUBLE", RING)
+def ring_simplify(ring, tolerance) -> str:
+    """The closed ring without vertices that lie within ``tolerance`` of the line between their neighbours.
+
+    Vertices go one by one: each is kept or not by its distance from the line between the last one kept and the next, so
+    0 takes out what is exactly in line or repeated. The vertex where the ring closes counts like the others. A ring that
+    would be left with fewer than three corners stays as it is.
+    """
+    cross = "((c_.x - a_.x) * (b_.y - a_.y) - (c_.y - a_.y) * (b_.x - a_.x))"
+    length = "((c_.x - a_.x) * (c_.x - a_.x) + (c_.y - a_.y) * (c_.y - a_.y))"
+    dot = "((b_.x - a_.x) * (c_.x - a_.x) + (b_.y - a_.y) * (c_.y - a_.y))"
+    # Beyond the ends of the line, as at the tip of a spike, the nearer end counts.
+    end = "least((b_.x - a_.x) * (b_.x - a_.x) + (b_.y - a_.y) * (b_.y - a_.y), (b_.x - c_.x) * (b_.x - c_.x) + (b_.y - c_.y) * (b_.y - c_.y))"
+    near = f"IF({length} > 0D AND {dot} BETWEEN 0D AND {length}, {cross} * {cross} <= t_ * t_ * {length}, {end} <= t_ * t_)"
+    drop = bind("element_at(k_, -1)", "a_", bind("m_[0]", "b_", bind("m_[1]", "c_", near)))
+    # Pairs of a vertex and the next one, after a vertex that is kept in any case.
+    pairs = "zip_with(slice(o_, 2, size(o_)), concat(slice(o_, 3, size(o_)), slice(o_, 1, 1)), (p_, q_) -> array(p_, q_))"
+    fold = f"aggregate({pairs}, slice(o_, 1, 1), (k_, m_) -> IF({drop}, k_, concat(k_, slice(m_, 1, 1))))"
+    # The first vertex kept is judged last, between its neighbours in what is left.
+    turned = bind(fold, "f_", "IF(size(f_) > 2, concat(slice(f_, 2, size(f_)), slice(f_, 1, 1)), f_)")
+    last = bind(turned, "g_", bind("struct(element_at(g_, -2) AS a, element_at(g_, -1) AS b, g_[0] AS c)", "h_", bind("h_.a", "a_", bind("h_.b", "b_", bind("h_.c", "c_", f"IF({near}, slice(g_, 1, size(g_) - 1), concat(slice(g_, size(g_), 1), slice(g_, 1, size(g_) - 1)))")))))
+    closed = bind(last, "l_", "IF(size(l_) > 2, concat(l_, slice(l_, 1, 1)), r_)")
+    body = bind(f"double({tolerance})", "t_", bind("slice(r_, 1, size(r_) - 1)", "o_", closed))
+    return bind(ring, "r_", f"IF(size(r_) > 4, {body}, r_)")
+
+
 # ---------------------------------------------------------------- clipping
 
 @grid_function(f"ring {RING}, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE", RING)

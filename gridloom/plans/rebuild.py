@@ -18,18 +18,16 @@ REBUILT_COLUMNS = [
 ]
 
 
-def rebuild(compact: DataFrame) -> DataFrame:
-    """Original rows from compact ones: names, quadrant, counts by sex and projected geometry.
-
-    Women come from the rounded percentage, so the split by sex is approximate by
-    nature; every other column is exact. The work is one projection without a shuffle.
-    """
+def staged_columns() -> list[str]:
+    """Of a compact row what its original one is made of: key, centre and counts."""
     fem = round_long("pop * double(pop_fem_perc) / 100D")
-    staged = compact.filter("NOT is_cache").selectExpr(
-        "gid", f"{center_x.sql('gid')} AS cx", f"{center_y.sql('gid')} AS cy", f"int({fem}) AS fem", "pop", "dom_ocu"
-    )
+    return ["gid", f"{center_x.sql('gid')} AS cx", f"{center_y.sql('gid')} AS cy", f"int({fem}) AS fem", "pop", "dom_ocu"]
+
+
+def original_columns() -> list[str]:
+    """Columns of the original table, of the staged ones."""
     # the centre of a 200 m or 1 km cell lies inside every coarser cell and inside itself
-    return staged.selectExpr(
+    return [
         "gid",
         f"{gid_to_name.sql('gid')} AS id_unico",
         *[f"{point_to_name.sql('cx', 'cy', lv)} AS {c}" for c, lv in NAME_COLUMNS.items()],
@@ -39,7 +37,16 @@ def rebuild(compact: DataFrame) -> DataFrame:
         "pop",
         "dom_ocu",
         f"{square_wkt.sql('gid')} AS geom",
-    )
+    ]
+
+
+def rebuild(compact: DataFrame) -> DataFrame:
+    """Original rows from compact ones: names, quadrant, counts by sex and projected geometry.
+
+    Women come from the rounded percentage, so the split by sex is approximate by
+    nature; every other column is exact. The work is one projection without a shuffle.
+    """
+    return compact.filter("NOT is_cache").selectExpr(*staged_columns()).selectExpr(*original_columns())
 
 
 def rebuild_cell(compact: DataFrame, gid: int, limit: int | None = None) -> DataFrame:
