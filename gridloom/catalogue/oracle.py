@@ -530,6 +530,7 @@ fx_v AS (SELECT gid, level, pop, pop_fem_perc, dom_ocu, {name_any('cx', 'cy', 'l
         """SELECT CAST(gid AS VARCHAR) AS id, id_unico, CAST(pop AS BIGINT) AS pop, pop_fem_perc, CAST(dom_ocu AS BIGINT) AS dom_ocu, ord,
   round(lon, 6) AS lon, round(lat, 6) AS lat FROM fx_ll""")
     q["geojson_read"] = q["geojson_documents"] = q["geojson_features"]
+    q["geojson_scanned"] = q["geojson_features"].replace(" WHERE level < 2", "")
     q["geojson_headers"] = _w(COMPACT, """SELECT CAST(gid AS VARCHAR) AS root, 'FeatureCollection' AS type, 'cells' AS name, CAST(2 AS BIGINT) AS n_members
 FROM fx_levels WHERE level = 0""")
     q["control_points"] = _w(ORIGINAL, """SELECT 'BR, "' || quadrante || '"' AS jurisdiction, 'Ponto ' || id_unico AS name, gid AS wikidata_id, CAST(NULL AS BIGINT) AS osm_node_id,

@@ -18,7 +18,7 @@ from gridloom.plans import descriptor, load, rebuild, reports, tables, verify, v
 from gridloom.plans import quadrants as by_quadrant
 from gridloom.session import scratch_path
 from gridloom.sources import compact as compact_io
-from gridloom.sources import control, geojson, manifest
+from gridloom.sources import control, geojson, geojson_scan, manifest
 from gridloom.sources import original as original_io
 from gridloom.streaming.enrich import enrich_stream, run_available
 
@@ -737,6 +737,18 @@ def geojson_documents(spark, sf_dir):
     return _feature_vertices(geojson.read_features(spark, _collection_files(spark, sf_dir)))
 
 
+@query
+def geojson_scanned(spark, sf_dir):
+    """Documents of all cells, one for each 100 km, as single lines that are read in pieces."""
+    rows = _compact(spark, sf_dir).withColumns({"id_unico": G.gid_to_name("gid"), "ring": G.cell_ring("gid", translate=True)})
+    root = f"IF({G.gid_level.sql('gid')} < 2, gid, {G.gid_to_gid.sql('gid', 1)}) AS root"
+    texts = geojson.features(rows, **_FEATURE).selectExpr(root, "feature").groupBy("root").agg(F.collect_list("feature").alias("fs"))
+    document = F.concat(F.lit('{"type":"FeatureCollection","name":"cells","features":['), F.array_join("fs", ","), F.lit("]}"))
+    path = scratch_path(spark, "documents")
+    texts.select("root", document.alias("value")).repartition("root").write.partitionBy("root").text(path)
+    return _feature_vertices(geojson_scan.scan_features(spark, path))
+
+
 @query
 def geojson_headers(spark, sf_dir):
     headers = geojson.read_headers(spark, _collection_files(spark, sf_dir) + "/*")
