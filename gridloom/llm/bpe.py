@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm._util import kept, ready, slices, staged
-from gridloom.llm.merging import NEVER, Cache, merge_symbols
+from gridloom.llm.merging import Cache, merge_pairs
 from gridloom.session import shared_folder
 
 LEXICON = 50_000
@@ -117,21 +117,21 @@ class Lexicon:
             at += 4 * n
         self._first, self._final, self._label, self._target, self._skip, self._starts, self._ids = parts
         self._root = len(self._final) - 1
+        # A byte for each transition, so that a state's are searched at once.
+        self._labels = np.frombuffer(self._label, np.uint32).astype(np.uint8).tobytes()
 
     def __len__(self) -> int:
         return len(self._starts) - 1
 
     def get(self, word: str) -> list[int] | None:
         """Ids of a word, None if it is not in the lexicon."""
-        first, label, state, number = self._first, self._label, self._root, 0
+        first, find, skip, target, state, number = self._first, self._labels.find, self._skip, self._target, self._root, 0
         for byte in word.encode():
-            for t in range(first[state], first[state + 1]):
-                if label[t] == byte:
-                    number += self._skip[t]
-                    state = self._target[t]
-                    break
-            else:
+            t = find(byte, first[state], first[state + 1])
+            if t < 0:
                 return None
+            number += skip[t]
+            state = target[t]
         if not self._final[state]:
             return None
         return self._ids[self._starts[number] : self._starts[number + 1]].tolist()
@@ -154,14 +154,12 @@ class WordTokenizer:
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.lexicon = lexicon
-        self.piece = Cache(self._piece, pieces, entry=360, weigh=lambda found: len(found[0]) + len(found[1] or ""))
-        self.word = Cache(self._word, 250_000, 100_000_000, weigh=len)
+        # Of about 30 bytes a key, so that the number of pieces is what is asked for in ordinary text.
+        self.piece, self.word = Cache(self._piece, most_bytes=480 * pieces, entry=360), Cache(self._word, most_bytes=90_000_000)
 
     def merged(self, word: str) -> list[int]:
         """Ids of one pre-token by merging."""
-        symbols = [*word[:-1], word[-1] + self.suffix]
-        rank = self.rank.get
-        return [self.vocab[s] for s in merge_symbols(symbols, lambda a, b: rank((a, b), NEVER))]
+        return [self.vocab[s] for s in merge_pairs([*word[:-1], word[-1] + self.suffix], self.rank)]
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token, from the lexicon or by merging, as little-endian 32-bit numbers."""

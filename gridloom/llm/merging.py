@@ -61,23 +61,42 @@ def _merge_long(symbols: list[str], priority: Callable[[str, str], float]) -> li
     return [s for s in symbols if s]
 
 
+def merge_pairs(symbols: list[str], rank: dict[tuple[str, str], int]) -> list[str]:
+    """:func:`merge_symbols` with the priorities of pairs in a dictionary, without a call for each pair of a short word."""
+    if len(symbols) > _SHORT:
+        return _merge_long(symbols, lambda a, b: rank.get((a, b), NEVER))
+    get = rank.get
+    ranks = [get(pair, NEVER) for pair in zip(symbols, symbols[1:])]
+    while ranks:
+        best = min(ranks)
+        if best == NEVER:
+            break
+        i = ranks.index(best)
+        symbols[i] += symbols.pop(i + 1)
+        del ranks[i]
+        if i:
+            ranks[i - 1] = get((symbols[i - 1], symbols[i]), NEVER)
+        if i < len(ranks):
+            ranks[i] = get((symbols[i], symbols[i + 1]), NEVER)
+    return symbols
+
+
 class Cache(dict):
     """A dictionary that fills itself and starts anew at ``most`` entries or about ``most_bytes``; only speed depends on it.
 
-    ``weigh`` gives the bytes of a value beside the ``entry`` that every pair takes. Keys and values that are long, as in scripts
+    An entry is taken to be ``entry`` bytes and four for each of its key, which the values here grow with; long keys, as in scripts
     without spaces, fill it with fewer entries.
     """
 
-    def __init__(self, make: Callable, most: int = 1_000_000, most_bytes: int = 300_000_000, entry: int = 240, weigh: Callable = lambda value: 0):
+    def __init__(self, make: Callable, most: int = 1_000_000, most_bytes: int = 400_000_000, entry: int = 240):
         super().__init__()
-        self.make, self.most, self.most_bytes, self.entry, self.weigh, self.held = make, most, most_bytes, entry, weigh, 0
+        self.make, self.room, self.most_bytes = make, most_bytes, most_bytes
+        self.entry = max(entry, most_bytes // most)
 
     def __missing__(self, key):
-        value = self.make(key)
-        size = self.entry + len(key) + self.weigh(value)
-        self.held += size
-        if len(self) >= self.most or self.held > self.most_bytes:
+        self.room -= self.entry + 4 * len(key)
+        if self.room < 0:
             self.clear()
-            self.held = size
-        self[key] = value
+            self.room = self.most_bytes
+        value = self[key] = self.make(key)
         return value

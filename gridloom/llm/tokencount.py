@@ -40,7 +40,7 @@ class PieceCounter:
             re.search(f"[^{MARK}]{MARK}", p) or len(p) > 1 and re.search("[\n\t]", p) for p in self.rank
         )
         self.whole = frozenset(p for p in self.rank if self.merged(p) == [p]) if whole is None else whole
-        self.count = Cache(self.count_unit, most_bytes=200_000_000)
+        self.count = Cache(self.count_unit, most_bytes=320_000_000)
 
     def merged(self, unit: str) -> list[str]:
         rank = self.rank.get
