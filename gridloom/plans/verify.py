@@ -23,7 +23,8 @@ from gridloom.functions import (
     wkt_to_parts,
     wkt_to_ring,
 )
-from gridloom.functions._base import round_long, struct
+from gridloom.functions._base import bind, round_long, struct
+from gridloom.functions.albers import forward
 from gridloom.functions.levels import FINEST
 from gridloom.operators.locate import locate_in_boxes
 from gridloom.functions.shapes import corner_columns, quad_centroid
@@ -31,6 +32,27 @@ from gridloom.operators.points import with_geohash, with_latlon, with_xy
 from gridloom.plans.rebuild import NAME_COLUMNS
 
 
+_ONE_RING = r"^\s*(?:MULTI)?POLYGON\s*\({2,3}([^()]+)\){2,3}\s*$"
+
+
+def flat_corners(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """The rows with the corners ``x0, y0, ... x3, y3`` of a plain ring of five points, as nearly all cells have.
+
+    They are columns of generated code, where arrays would be worked on one by one. Any other shape stays in ``_geom``, which is
+    NULL for plain ones, and takes the general way; a row without a shape has neither.
+    """
+    words = df.selectExpr("*", f"{geom} AS _geom", f"split(trim(regexp_extract({geom}, r'{_ONE_RING}', 1)), r'[\\s,]+') AS _w")
+    corners = [f"try_cast(get(_w, {2 * i + j}) AS DOUBLE) AS {axis}{i}" for i in range(4) for j, axis in enumerate("xy")]
+    plain = "IF(size(_w) = 10 AND _w[0] = _w[8] AND _w[1] = _w[9], NULL, _geom) AS _geom"
+    return words.selectExpr(*[f"`{c}`" for c in df.columns], plain, *corners)
+
+
+def projected_corners(df: DataFrame, *kept: str) -> DataFrame:
+    """The kept columns, ``_geom``, and the corners of :func:`flat_corners` in metres."""
+    points = [forward(f"y{i}", f"x{i}") for i in range(4)]
+    return df.selectExpr(*kept, "_geom", *[f"{e} AS {axis}{i}" for i, pair in enumerate(points) for axis, e in zip("xy", pair)])
+
+
 def _own_and_names(df: DataFrame) -> list[str]:
     return [c for c in NAME_COLUMNS if c in df.columns]
 
@@ -103,28 +125,21 @@ def check_geometry(original: DataFrame, geom: str = "geom") -> DataFrame:
     )
 
 
-def _percent_true(flag: str) -> Column:
-    return F.expr(round_long(f"100D * sum(n) FILTER (WHERE {flag}) / sum(n)"))
-
-
 def edge_rate(original: DataFrame, geom: str = "geom") -> DataFrame:
     """Percent of ring vertices, and of ring centres, strictly inside their own cell square."""
-    tested = (
-        original.selectExpr(
-            f"{name_to_gid.sql('id_unico')} AS gid", f"{ring_to_xy.sql(wkt_to_ring.sql(geom))} AS ring"
-        )
-        .selectExpr("gid", "ring", f"{ring_centroid.sql('ring')} AS c")
-        .selectExpr("gid", "c", "explode(ring) AS v")
-        .selectExpr(
-            f"{square_contains.sql('gid', 'v.x', 'v.y')} AS vertex_inside",
-            f"{square_contains.sql('gid', 'c.x', 'c.y')} AS center_inside",
-        )
-    )
-    counts = tested.groupBy("vertex_inside", "center_inside").agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(
-        _percent_true("vertex_inside").alias("contains_pt_perc"),
-        _percent_true("center_inside").alias("contains_center_perc"),
-    )
+    keyed = original.selectExpr(f"{name_to_gid.sql('id_unico')} AS gid", f"{geom} AS geom")
+    cornered = projected_corners(flat_corners(keyed), "gid")
+    cx, cy = quad_centroid()
+    within = [f"int({square_contains.sql('gid', f'x{i}', f'y{i}')})" for i in range(4)]
+    # The closing vertex counts like the others.
+    flat = struct(n="5L", v=f"bigint(2 * {' + '.join(within)})", c=f"IF({square_contains.sql('gid', cx, cy)}, 5L, 0L)")
+    ring, center = ring_to_xy.sql(wkt_to_ring.sql("_geom")), ring_centroid.sql("g_")
+    inside = square_contains.sql("gid", "p_.x", "p_.y")
+    held = bind(center, "p_", f"IF({inside}, bigint(size(g_)), 0L)")
+    general = bind(ring, "g_", struct(n="bigint(size(g_))", v=f"bigint(size(filter(g_, p_ -> {inside})))", c=held))
+    counted = cornered.selectExpr(f"CASE WHEN _geom IS NOT NULL THEN {general} WHEN x0 IS NOT NULL THEN {flat} END AS r")
+    sums = counted.agg(*[F.sum(f"r.{c}").alias(c) for c in "nvc"])
+    return sums.selectExpr(f"{round_long('100D * v / n')} AS contains_pt_perc", f"{round_long('100D * c / n')} AS contains_center_perc")
 
 
 def compare_rebuilt(rebuilt: DataFrame, original: DataFrame, geom: str = "geom", digits: int = 9) -> DataFrame:
@@ -171,7 +186,12 @@ def naming_violations(original: DataFrame, center_xy: tuple[str, str] | None = N
     and south for 1 km cells, west and north for 200 m cells.
     """
     if center_xy is None:
-        staged = original.selectExpr("*", f"{ring_centroid.sql(ring_to_xy.sql(wkt_to_ring.sql(geom)))} AS _c")
+        corners = projected_corners(flat_corners(original, geom), "id_unico", "nome_1km")
+        general = ring_centroid.sql(ring_to_xy.sql(wkt_to_ring.sql("_geom")))
+        x, y = quad_centroid()
+        staged = corners.selectExpr(
+            "id_unico", "nome_1km", f"CASE WHEN _geom IS NOT NULL THEN {general} WHEN x0 IS NOT NULL THEN {struct(x=x, y=y)} END AS _c"
+        )
         cx, cy = "_c.x", "_c.y"
     else:
         staged, (cx, cy) = original, center_xy
@@ -197,10 +217,12 @@ def search_original(points: DataFrame, original: DataFrame, uri: str = "geo_uri"
     borders and one point may meet several cells, as a bounding-box search does.
     """
     tile = 0.01
-    boxed = original.selectExpr("*", f"{wkt_to_ring.sql('geom')} AS _ring").selectExpr(
-        "*",
-        *[f"array_{op}(transform(_ring, p_ -> p_.{a})) AS {a}{op}" for a in "xy" for op in ("min", "max")],
-    ).drop("_ring")
+    general = wkt_to_ring.sql("_geom")
+    extremes = [
+        f"IF(_geom IS NULL, {pick}({', '.join(f'{a}{i}' for i in range(4))}), array_{op}(transform({general}, p_ -> p_.{a}))) AS {a}{op}"
+        for a in "xy" for op, pick in (("min", "least"), ("max", "greatest"))
+    ]
+    boxed = flat_corners(original, "geom").selectExpr(*[f"`{c}`" for c in original.columns], *extremes)
     placed = with_latlon(points, uri).withColumnsRenamed({"lon": "x", "lat": "y"})
     return locate_in_boxes(placed, boxed, tile).drop("x", "y", "xmin", "xmax", "ymin", "ymax")
 
