@@ -88,7 +88,7 @@ class Cache(dict):
     without spaces, fill it with fewer entries.
     """
 
-    def __init__(self, make: Callable, most: int = 1_000_000, most_bytes: int = 400_000_000, entry: int = 240):
+    def __init__(self, make: Callable | None, most: int = 1_000_000, most_bytes: int = 400_000_000, entry: int = 240):
         super().__init__()
         self.make, self.room, self.most_bytes = make, most_bytes, most_bytes
         self.entry = max(entry, most_bytes // most)
@@ -100,3 +100,12 @@ class Cache(dict):
             self.room = self.most_bytes
         value = self[key] = self.make(key)
         return value
+
+    def hold(self, made: dict) -> None:
+        """Take in what was made elsewhere, within the same bounds."""
+        for key, value in made.items():
+            self.room -= self.entry + 4 * len(key)
+            if self.room < 0:
+                self.clear()
+                self.room = self.most_bytes - self.entry - 4 * len(key)
+            self[key] = value

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -84,3 +85,28 @@ def test_id_rows(docs, nothing):
     assert full.columns == [*docs.columns, "ids", "decoded"]
     assert sorted(str((r.doc_id, r.ids, r.decoded)) for r in full.collect()) == sorted(kept)
     assert bpe.digest_documents(nothing, WORDS).count() == 0 and bpe.encode_documents(nothing, WORDS).count() == 0
+
+
+def test_merges_side_by_side_equal_merges_one_by_one():
+    own, rng = bpe.WordTokenizer(WORDS), random.Random(3)
+    words = [w for t in HARD for p in t.split() for w in own.pre_tokens(p)]
+    words += ["".join(rng.choice("aaabtheingÃ©ł1,") for _ in range(rng.randrange(1, bpe.LONG))) for _ in range(3000)]
+    ids, bounds = own.merges(words)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [own.merged(w) for w in words]
+    assert own.merges([])[0].tolist() == [] and own.merges(["a"])[1].tolist() == [0, 1]
+    made = own.words(["a" * 5000, "the", "Ã©" * 40])
+    assert made["a" * 5000][0] == np.array(own.merged("a" * 5000), "<u4").tobytes() and len(made) == 3
+    with pytest.raises(ValueError):
+        own.merges(["日"])
+
+
+def test_texts_together_equal_texts_alone(texts):
+    library, own = Tokenizer.from_file(WORDS), bpe.WordTokenizer(WORDS, pieces=40)  # caches that start anew all the time
+    given = [None, *texts, "the end " * 20_000, None, " \t "]
+    ids, decoded = own.encode_texts(pa.array(given, pa.string()))
+    for text, i, d in zip(given, ids.to_pylist(), decoded.to_pylist()):
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(i, "<u4").tolist() == want and d == library.decode(want, skip_special_tokens=False)
+    ids, decoded = own.encode_texts(pa.array(given, pa.string())[3:7])
+    assert decoded.to_pylist() == [own.encode(t)[1] for t in given[3:7]]
+    assert [len(x) for x in own.encode_texts(pa.array([], pa.string()))] == [0, 0]
