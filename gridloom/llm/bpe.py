@@ -37,11 +37,11 @@ from gridloom.session import shared_folder
 
 LEXICON = 50_000
 #: Pieces whose ids a worker knows at a time; fewer where whole rows pass through it.
-PIECES, PIECES_WITH_ROWS = 700_000, 220_000
+PIECES, PIECES_WITH_ROWS = 400_000, 220_000
 #: Pre-tokens of more characters are merged on a heap, each by itself.
 LONG = 48
 #: Bytes of texts that are looked up together, and that are counted together.
-SLICE, COUNTED = 4_000_000, 16_000_000
+SLICE, COUNTED = 2_000_000, 8_000_000
 #: The vocabulary file's pattern as it reads on printable ASCII without spaces.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _MAGIC = b"GLLEX001"
@@ -238,7 +238,7 @@ class WordTokenizer:
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.lexicon = lexicon
         # Of about 30 bytes a key, so that the number of pieces is what is asked for in ordinary text.
-        self.piece, self.word = Cache(None, most_bytes=480 * pieces, entry=360), Cache(None, most_bytes=90_000_000)
+        self.piece, self.word = Cache(None, most_bytes=480 * pieces, entry=360), Cache(None, most_bytes=60_000_000)
 
     def merged(self, word: str) -> list[int]:
         """Ids of one pre-token by merging."""
