@@ -16,6 +16,7 @@ from gridloom.functions import (
     gid_to_name,
     inverse,
     name_to_gid,
+    point_to_gid,
     point_to_name,
     quadrants,
     square_wkt,
@@ -190,3 +191,24 @@ def read_stored_original(spark: SparkSession, sf_dir: str, decimals: int | None
     """The original grid as stored, with the key in place of the legacy row id."""
     scan = read_original(spark, stored_original(spark, sf_dir, decimals))
     return scan.withColumn("gid", name_to_gid("id_unico"))
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, gid, ts, seen``: points on cells of 100 km with the time of their delivery.
+
+    Most come within an hour and a half, one in fifty after two days, and one in twenty comes again a minute later.
+    """
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS t"
+    )
+    first = stored_points(spark, sf_dir).join(events, "event_id").selectExpr(
+        "event_id", f"{point_to_gid.sql('x', 'y', 1)} AS gid", "t",
+        "t + IF(event_id % 50 = 7, 172800L, event_id * 37 % 5400) * 1000000 AS s",
+    )
+    again = first.where("event_id % 20 = 3").withColumn("s", F.expr("s + 60000000"))
+    return first.unionByName(again).selectExpr("event_id", "gid", "timestamp_micros(t) AS ts", "timestamp_micros(s) AS seen")
+
+
+def stored_deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the deliveries as a stored table."""
+    return _once(spark, sf_dir, "deliveries", lambda p: deliveries(spark, sf_dir).write.parquet(p))

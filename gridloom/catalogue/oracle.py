@@ -541,5 +541,16 @@ FROM fx_levels WHERE level = 0""")
     q["json_slice"] = """SELECT event_id, '{"k":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' AS same,
   '{"key":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' AS renamed, '{}' AS absent FROM events"""
     head, tail = q["resolve_point"].rsplit("SELECT src, ", 1)
+    q["cell_windows"] = _w(CELLS + "," + XY + f""",
+fx_first AS (SELECT p.event_id, {gid('x', 'y', 1)} AS gid, epoch_us(e.ts) AS t,
+    epoch_us(e.ts) + CASE WHEN p.event_id % 50 = 7 THEN 172800 ELSE (p.event_id * 37) % 5400 END * 1000000 AS seen
+  FROM fx_xy p JOIN events e ON e.event_id = p.event_id),
+fx_sent AS (SELECT *, CASE WHEN late THEN seen ELSE t END AS placed FROM (
+  SELECT *, seen >= (t // 21600000000 + 1) * 21600000000 + 7200000000 AS late FROM (
+    SELECT * FROM fx_first UNION ALL SELECT event_id, gid, t, seen + 60000000 FROM fx_first WHERE event_id % 20 = 3) a) b),
+fx_once AS (SELECT * FROM fx_sent QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY seen) = 1)""",
+        """SELECT placed // 21600000000 * 21600000000 AS window_us, gid, late, count(*) AS n, min(t) AS first_us, max(t) AS last_us
+FROM fx_once WHERE (placed // 21600000000 + 1) * 21600000000 <= (SELECT max(placed) // 1000 * 1000 - 7200000000 FROM fx_sent)
+GROUP BY 1, 2, 3""")
     q["stream_enrich"] = f"{head}SELECT {tail}\nWHERE src = 'grid'"
     return q

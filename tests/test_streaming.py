@@ -1,7 +1,8 @@
-"""The stream of GeoURIs while its grid is replaced."""
+"""The stream of GeoURIs while its grid is replaced, and events per cell over time."""
 
 from gridloom.sources.compact import current_version, write_version
-from gridloom.streaming.enrich import run_refreshing
+from gridloom.streaming.enrich import run_available, run_refreshing
+from gridloom.streaming.windows import count_by_window, dropped_rows
 
 
 def test_a_new_version_takes_effect_and_old_readers_go_on(spark, tmp_path):
@@ -26,3 +27,65 @@ def test_a_new_version_takes_effect_and_old_readers_go_on(spark, tmp_path):
     got = spark.read.parquet(out)
     assert {r.batch: r["pop"] for r in got.collect()} == {0: 45, 1: 5_000_000_000}
     assert old.first()["pop"] == 45 and current_version(spark, folder).first()["pop"] == 5_000_000_000
+
+
+_SENT = "event_id long, gid long, ts timestamp, seen timestamp"
+
+
+def _rows(spark, rows):
+    """Rows with times in minutes of one day; None stays."""
+    stamp = "timestamp_seconds(1700006400 + {0} * 60) AS {0}"
+    given = spark.createDataFrame(rows, "event_id long, gid long, ts long, seen long")
+    return given.selectExpr("event_id", "gid", stamp.format("ts"), stamp.format("seen"))
+
+
+def _minutes(df):
+    at = "(unix_seconds({}) - 1700006400) div 60"
+    return sorted(
+        (tuple(r) for r in df.selectExpr(at.format("window_start"), "gid", "late", "n", at.format("first_ts"), at.format("last_ts")).collect()),
+        key=str,
+    )
+
+
+_DAY = [
+    [(1, 7, 0, 1), (2, 7, 59, 60), (3, 8, 10, 12), (1, 7, 0, 2), (None, 7, 5, 20), (None, 7, 5, 20), (4, None, 30, None)],
+    # late by the rule, and once more; in time though its window is over; delivered again after a restart
+    [(5, 7, 1, 180), (5, 7, 1, 181), (6, 7, 50, 119), (3, 8, 10, 70), (7, 8, 100, 121)],
+    [(8, 8, None, 190), (9, 9, 300, 301), (10, 7, 59, 302), (11, 9, None, None)],
+    [(12, 1, 2000, 2001)],
+]
+
+
+def test_events_per_cell_stream_equals_batch(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for rows in _DAY:
+        _rows(spark, rows).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(_SENT).parquet(inbox)
+        done = run_available(count_by_window(stream, window="1 hour", lateness="1 hour"), out, state)
+    batch = count_by_window(_rows(spark, [r for rows in _DAY for r in rows]), window="1 hour", lateness="1 hour")
+    want = [
+        (0, 7, False, 4, 0, 59), (0, 8, False, 1, 10, 10), (0, None, False, 1, 30, 30), (60, 8, False, 1, 100, 100),
+        (180, 7, True, 1, 1, 1), (180, 8, True, 1, None, None), (300, 7, True, 1, 59, 59), (300, 9, False, 1, 300, 300),
+    ]
+    assert _minutes(done) == sorted(want, key=str)
+    assert _minutes(batch) == sorted([*want, (1980, 1, False, 1, 2000, 2000)], key=str)
+
+
+def test_events_per_cell_of_nothing(spark):
+    assert count_by_window(_rows(spark, [])).count() == 0
+
+
+def test_rows_out_of_order_are_told(spark, tmp_path):
+    """A row in time by its own stamp that comes after far younger ones: kept within ``disorder``, told as dropped beyond."""
+    for name, disorder, n, lost in (("none", "0 seconds", 1, 1), ("some", "10 hours", 2, 0)):
+        inbox, out, state = (str(tmp_path / name / x) for x in ("in", "out", "state"))
+        dropped = 0
+        for rows in ([(1, 7, 5, 6), (2, 8, 500, 501)], [(3, 7, 6, 7)], [(4, 8, 3000, 3001)]):
+            _rows(spark, rows).write.mode("append").parquet(inbox)
+            stream = spark.readStream.schema(_SENT).parquet(inbox)
+            counted = count_by_window(stream, window="1 hour", lateness="1 hour", disorder=disorder)
+            query = counted.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+            query.awaitTermination()
+            dropped += dropped_rows(query)
+        got = {r.gid: r.n for r in spark.read.schema(counted.schema).parquet(out).collect()}
+        assert got == {7: n, 8: 1} and dropped == lost
