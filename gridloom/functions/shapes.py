@@ -85,6 +85,55 @@ def quad_centroid(prefix: str = "") -> tuple[str, str]:
     return f"({prefix}x0 + ({x}) / (3D * {doubled}))", f"({prefix}y0 + ({y}) / (3D * {doubled}))"
 
 
+def quad_area(prefix: str = "") -> str:
+    """Expression of the planar area of the quadrilateral in ``corner_columns``, as ``ring_area`` gives it."""
+    dx, dy = ([f"({prefix}{a}{i} - {prefix}{a}0)" for i in range(4)] for a in "xy")
+    return f"(abs({' + '.join(f'({dx[i]} * {dy[i + 1]} - {dx[i + 1]} * {dy[i]})' for i in (1, 2))}) / 2D)"
+
+
+def quad_contains(x: str, y: str, prefix: str = "") -> str:
+    """Expression of ``ring_contains`` for the quadrilateral in ``corner_columns``."""
+    odd, touched = [], []
+    for i in range(4):
+        a, b = ({"x": f"{prefix}x{k % 4}", "y": f"{prefix}y{k % 4}"} for k in (i, i + 1))
+        crosses, touches = _side_tests(a, b, {"x": x, "y": y})
+        odd.append(f"int({crosses})")
+        touched.append(touches)
+    return f"({' + '.join(odd)}) % 2 = 1 AND NOT ({' OR '.join(touched)})"
+
+
+def edge_clips(half: str, cx: str, cy: str, prefix: str = "") -> list[dict[str, str]]:
+    """Two steps of columns that give ``quad_overlap``: each side cut to the square's width, then its part above the lower border.
+
+    Relative to the lower-left corner of the square. ``_d`` is the run of a side within the width and ``_u, _v`` the heights at its ends.
+    """
+    width = f"double(2 * {half})"
+    moved = {f"_{a}{i}": f"({prefix}{a}{i} - ({c} - {half}))" for i in range(4) for a, c in (("x", cx), ("y", cy))}
+    cut = {"_w": width}
+    for i in range(4):
+        x, y, z, t = f"_x{i}", f"_y{i}", f"_x{(i + 1) % 4}", f"_y{(i + 1) % 4}"
+        for name, own, height in (("u", x, y), ("v", z, t)):
+            inner = f"least(greatest({own}, 0D), {width})"
+            cut[f"_{name}x{i}"] = inner
+            # an end outside the width moves along its side; a level run has no other height
+            cut[f"_{name}{i}"] = f"IF({own} = {inner} OR {x} = {z}, {height}, {y} + ({inner} - {x}) * ({t} - {y}) / IF({x} = {z}, 1D, {z} - {x}))"
+    return [moved, cut]
+
+
+def quad_overlap() -> str:
+    """Expression of the area of a quadrilateral within a square, of the columns of ``edge_clips``.
+
+    The heights above the lower border, cut at the upper one, are summed along each side: the mean of a linear height is its
+    middle, or a triangle where the side crosses a border.
+    """
+    def positive(a, b):
+        top = f"greatest({a}, {b})"
+        return f"CASE WHEN least({a}, {b}) >= 0D THEN ({a} + {b}) / 2D WHEN {top} <= 0D THEN 0D ELSE {top} * {top} / (2D * abs({a} - {b})) END"
+
+    sums = [f"(_vx{i} - _ux{i}) * ({positive(f'_u{i}', f'_v{i}')} - {positive(f'(_u{i} - _w)', f'(_v{i} - _w)')})" for i in range(4)]
+    return f"abs({' + '.join(sums)})"
+
+
 # ---------------------------------------------------------------- text forms
 
 @grid_function(f"ring {RING}", "STRING")
@@ -207,20 +256,25 @@ def ring_centroid(ring) -> str:
     return bind(ring, "r_", bind(_near("r_"), "n_", fold))
 
 
-def _inside(sides: str, x: str, y: str) -> str:
-    """Even-odd crossing of the sides, with points on a side left out."""
-    a, b = "s_.a", "s_.b"
+def _side_tests(a: dict[str, str], b: dict[str, str], v: dict[str, str]) -> tuple[str, str]:
+    """Whether the ray from the point ``v`` crosses the side from ``a`` to ``b``, and whether the point lies on the side."""
     touches = (
-        f"(({b}.x - {a}.x) * (v_.y - {a}.y) - ({b}.y - {a}.y) * (v_.x - {a}.x) = 0D"
-        f" AND v_.x BETWEEN least({a}.x, {b}.x) AND greatest({a}.x, {b}.x)"
-        f" AND v_.y BETWEEN least({a}.y, {b}.y) AND greatest({a}.y, {b}.y))"
+        f"(({b['x']} - {a['x']}) * ({v['y']} - {a['y']}) - ({b['y']} - {a['y']}) * ({v['x']} - {a['x']}) = 0D"
+        f" AND {v['x']} BETWEEN least({a['x']}, {b['x']}) AND greatest({a['x']}, {b['x']})"
+        f" AND {v['y']} BETWEEN least({a['y']}, {b['y']}) AND greatest({a['y']}, {b['y']}))"
     )
     # a side that straddles the ray is not level, so the guarded divisor is never 0
-    rise = f"IF({b}.y = {a}.y, 1D, {b}.y - {a}.y)"
+    rise = f"IF({b['y']} = {a['y']}, 1D, {b['y']} - {a['y']})"
     crosses = (
-        f"((({a}.y > v_.y) <> ({b}.y > v_.y))"
-        f" AND v_.x < {a}.x + (v_.y - {a}.y) * ({b}.x - {a}.x) / {rise})"
+        f"((({a['y']} > {v['y']}) <> ({b['y']} > {v['y']}))"
+        f" AND {v['x']} < {a['x']} + ({v['y']} - {a['y']}) * ({b['x']} - {a['x']}) / {rise})"
     )
+    return crosses, touches
+
+
+def _inside(sides: str, x: str, y: str) -> str:
+    """Even-odd crossing of the sides, with points on a side left out."""
+    crosses, touches = _side_tests(*({c: f"{p}.{c}" for c in "xy"} for p in ("s_.a", "s_.b", "v_")))
     test = f"(aggregate(v_.sides, false, (o_, s_) -> o_ <> {crosses}) AND NOT exists(v_.sides, s_ -> {touches}))"
     return bind(struct(sides=sides, x=f"double({x})", y=f"double({y})"), "v_", test)
 

@@ -27,7 +27,7 @@ from gridloom.functions._base import bind, round_long, struct
 from gridloom.functions.albers import forward
 from gridloom.functions.levels import FINEST
 from gridloom.operators.locate import locate_in_boxes
-from gridloom.functions.shapes import corner_columns, quad_centroid
+from gridloom.functions.shapes import corner_columns, edge_clips, quad_area, quad_centroid, quad_contains, quad_overlap
 from gridloom.operators.points import with_geohash, with_latlon, with_xy
 from gridloom.plans.rebuild import NAME_COLUMNS
 
@@ -96,23 +96,35 @@ def name_roundtrip(original: DataFrame, columns: tuple[str, ...] = ("nome_1km",
 
 def cell_overlap(original: DataFrame, geom: str = "geom") -> DataFrame:
     """Per original row: area of its projected ring inside its own cell square, and the cell's area."""
-    staged = original.selectExpr(
-        "id_unico", f"{name_to_gid.sql('id_unico')} AS gid", f"{ring_to_xy.sql(wkt_to_ring.sql(geom))} AS ring"
-    ).selectExpr(
+    keyed = original.selectExpr("id_unico", f"{name_to_gid.sql('id_unico')} AS gid", f"{geom} AS geom")
+    # Nearly all shapes are plain rings, worked on as flat columns in steps that the JVM compiles; the others are left in _geom.
+    finite = f"coalesce(abs({' + '.join(f'{a}{i}' for i in range(4) for a in 'xy')}) < 1e300D, false)"
+    plain = flat_corners(keyed).withColumn("_plain", F.expr(f"_geom IS NULL AND {finite}")).withColumn("_geom", F.expr("IF(_plain, NULL, geom)"))
+    own = [f"IF(_plain, {a}{i}, NULL) AS {a}{i}" for i in range(4) for a in "xy"]  # of another shape these are any four points
+    staged = projected_corners(plain.selectExpr("id_unico", "gid", "_plain", "_geom", *own), "id_unico", "gid", "_plain").selectExpr(
         "*",
         f"{center_x.sql('gid')} AS cx",
         f"{center_y.sql('gid')} AS cy",
         f"{level_to_size.sql(gid_level.sql('gid'))} div 2L AS half",
-        f"{ring_centroid.sql('ring')} AS c",
     )
-    clipped = clip_to_box.sql("ring", "cx - half", "cy - half", "cx + half", "cy + half")
-    return staged.selectExpr(
-        "id_unico",
-        "gid",
-        f"{ring_area.sql(clipped)} AS overlap",
-        f"{ring_area.sql('ring')} AS area",
-        f"{ring_contains.sql('ring', 'c.x', 'c.y')} AS contains_center",
+    ring = ring_to_xy.sql(wkt_to_ring.sql("_geom"))
+    clipped = clip_to_box.sql("_ring", "cx - half", "cy - half", "cx + half", "cy + half")
+    held_center = bind(ring_centroid.sql("_ring"), "i_", ring_contains.sql("_ring", "i_.x", "i_.y"))
+    general = struct(overlap=ring_area.sql(clipped), area=ring_area.sql("_ring"), contains=held_center)
+    # The general way has no generated code: its two steps keep the compiled ones between them small.
+    moved, cut = edge_clips("half", "cx", "cy")
+    x, y = quad_centroid()
+    held = ["id_unico", "gid", "_plain", "cx", "cy", "half"]
+    corners = [f"{a}{i}" for i in range(4) for a in "xy"]
+    ringed = staged.selectExpr(
+        *held, *corners, f"IF(_plain, NULL, {ring}) AS _ring", f"{quad_area()} AS _area", f"{x} AS _cx", f"{y} AS _cy",
+        *[f"{e} AS {c}" for c, e in moved.items()],
     )
+    sides = ringed.selectExpr(*held, *corners, "_ring", "_area", "_cx", "_cy", *[f"{e} AS {c}" for c, e in cut.items()])
+    # a cell without a key has no square, which then holds nothing of the ring
+    flat = struct(overlap=f"IF(half IS NULL, 0D, {quad_overlap()})", area="_area", contains=quad_contains("_cx", "_cy"))
+    found = sides.selectExpr("id_unico", "gid", f"IF(_plain, {flat}, {general}) AS _r")
+    return found.selectExpr("id_unico", "gid", "_r.overlap AS overlap", "_r.area AS area", "_r.contains AS contains_center")
 
 
 def check_geometry(original: DataFrame, geom: str = "geom") -> DataFrame:

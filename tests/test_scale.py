@@ -2,10 +2,13 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from gridloom.catalogue import inputs as I
 from gridloom.functions import square_wkt
 from gridloom.functions.albers import rounded
 from gridloom.functions.shapes import with_square_wkt
+from gridloom.plans import verify
 
 
 def method_sizes(df):
@@ -37,3 +40,31 @@ def test_original_is_compiled(spark):
     names = I._named_cells(_cells(spark)).withColumn("table", I.F.substring("quadrante", -2, 2))
     stages = method_sizes(I._original_rows(names, 6))
     assert stages and max(stages) < 8000
+
+
+def _shapes(spark):
+    square = "POLYGON((-50 -10,-50 -9,-49 -9,-49 -10,-50 -10))"
+    names = ["500KME2800N7350", "200ME28000N73502", "junk", None]
+    shapes = [
+        square, None, "POLYGON EMPTY", "MULTIPOLYGON(((-72 -35,-72 -30,-60 -29,-72 -35)))", "POLYGON((-70 -33,-60 -20,-70 -20,-60 -33,-70 -33))",
+        "POLYGON((-72 -35,-72 -30,-60 -29,-74 -33,-72 -35))", "POLYGON ((-74 -36, -74 -20, -50 -20, -50 -36, -74 -36))",
+        "POLYGON((-72 -34,-71 -34,-70 -34,-70 -31,-72 -31,-72 -34))", "POLYGON Z((-72 -34 1,-72 -31 1,-70 -31 1,-70 -34 1,-72 -34 1))",
+    ]
+    return spark.createDataFrame([(n, s) for n in names for s in shapes], "id_unico STRING, geom STRING")
+
+
+def test_overlap_of_plain_rings(spark):
+    """The flat columns give what the general way gives of the same ring with a vertex written twice."""
+    rows = _shapes(spark)
+    twice = rows.withColumn("geom", F.regexp_replace("geom", r"\(([^(),]+),", "($1,$1,"))
+    flat, general = (sorted(map(tuple, verify.cell_overlap(o).collect()), key=str) for o in (rows, twice))
+    assert len(flat) == len(general) == 36
+    for a, b in zip(flat, general):
+        assert a[:2] == b[:2] and a[4] == b[4]
+        for v, w in zip(a[2:4], b[2:4]):
+            assert (v is None) == (w is None) and (v is None or abs(v - w) <= 1e-9 * (1 + abs(w)))
+
+
+def test_overlap_is_compiled(spark):
+    stages = method_sizes(verify.cell_overlap(_shapes(spark)))
+    assert len(stages) > 1 and max(stages) < 8000
