@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from gridloom.catalogue import inputs as I
-from gridloom.functions import square_wkt
+from gridloom.functions import clip_to_box, square_wkt, wkt_to_ring
 from gridloom.functions.albers import rounded
 from gridloom.functions.shapes import with_square_wkt
 from gridloom.plans import verify
@@ -68,3 +68,15 @@ def test_overlap_of_plain_rings(spark):
 def test_overlap_is_compiled(spark):
     stages = method_sizes(verify.cell_overlap(_shapes(spark)))
     assert len(stages) > 1 and max(stages) < 8000
+
+
+def test_clip_keeps_and_drops_whole_rings(spark):
+    """A ring within the box, outside it, and across its border; white space of any kind between numbers."""
+    wkt = r"concat('POLYGON((', x, '\t0 , ', x, '\n  2,', x + 2, ' 2,', x + 2, ' 0,', x, ' 0))')"
+    ring = clip_to_box.sql("r", 0, 0, 4, 4)
+    rows = spark.createDataFrame([(1,), (10,), (3,), (None,)], "x INT").selectExpr("x", f"{wkt_to_ring.sql(wkt)} AS r")
+    found = {r.x: [tuple(p) for p in r.c] for r in rows.selectExpr("x", f"{ring} AS c").collect()}
+    assert found[10] == found[None] == [] and sorted(set(found[3])) == [(3.0, 0.0), (3.0, 2.0), (4.0, 0.0), (4.0, 2.0)]
+    assert found[1][0] == found[1][-1] and sorted(set(found[1])) == [(1.0, 0.0), (1.0, 2.0), (3.0, 0.0), (3.0, 2.0)]
+    # the pattern of white space is not compiled for each vertex, and whole rings are not cut side by side
+    assert r"split(v_, r'\s+')" not in wkt_to_ring.sql("w") and "forall(" in ring
