@@ -9,6 +9,7 @@ from gridloom.functions import clip_to_box, square_wkt, wkt_to_ring
 from gridloom.functions.albers import rounded
 from gridloom.functions.shapes import with_square_wkt
 from gridloom.plans import verify
+from gridloom.sources import geojson_scan
 
 
 def method_sizes(df):
@@ -80,3 +81,16 @@ def test_clip_keeps_and_drops_whole_rings(spark):
     assert found[1][0] == found[1][-1] and sorted(set(found[1])) == [(1.0, 0.0), (1.0, 2.0), (3.0, 0.0), (3.0, 2.0)]
     # the pattern of white space is not compiled for each vertex, and whole rings are not cut side by side
     assert r"split(v_, r'\s+')" not in wkt_to_ring.sql("w") and "forall(" in ring
+
+
+def test_pieces_are_counted_without_patterns(spark, tmp_path):
+    """Braces and brackets within and outside strings, escaped quotes and letters of several bytes."""
+    text = '[é{"a}\\"[":[1,{"b":"\\\\"}]}]'
+    (tmp_path / "one.json").write_text(text, encoding="utf-8")
+    pieces = geojson_scan._pieces(spark, str(tmp_path)).orderBy("seq")
+    assert [(r.value, r.quotes, r.b0, r.s0, r.e0, r.b1, r.s1, r.e1) for r in pieces.collect()] == [
+        ('[é{"a', 1, 1, 1, 0, -1, 0, 1), ('\\"[":[1,{"b":"\\\\"', 5, 0, 1, 0, 0, 1, 1), ("]", 0, -1, -1, 1, 0, 0, 0), ("]", 0, -1, -1, 1, 0, 0, 0)
+    ]
+    # letters are not mapped one by one
+    plan = pieces._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
