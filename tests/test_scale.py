@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from gridloom.catalogue import inputs as I
+from gridloom.catalogue.queries import QUERIES
 from gridloom.functions import clip_to_box, square_wkt, wkt_to_ring
 from gridloom.functions.albers import rounded
 from gridloom.functions.shapes import with_square_wkt
@@ -94,3 +95,11 @@ def test_pieces_are_counted_without_patterns(spark, tmp_path):
     # letters are not mapped one by one
     plan = pieces._jdf.queryExecution().optimizedPlan().toString()
     assert "translate(" not in plan
+
+
+def test_one_original_grid_for_the_comparison(spark, tmp_path):
+    rows = spark.range(60).selectExpr("id AS o_orderkey", "double(id * 31) AS o_totalprice")
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    assert QUERIES["rebuild_vs_original"](spark, str(tmp_path)).selectExpr("sum(n) AS n").first().n > 0
+    kinds = {kind for _, folder, kind in I._STORED if folder == str(tmp_path)}
+    assert kinds == {"cells", "compact", "original-12"}
