@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import gid_level, gid_to_quadrant, name_to_gid
-from gridloom.operators.pyramid import build_pyramid
+from gridloom.operators.pyramid import build_pyramid, pyramid_of_keys
+from gridloom.plans.load import keyed
 from gridloom.sources.compact import COMPACT_SCHEMA
 
 
@@ -27,7 +28,7 @@ def _write(compact: DataFrame, path: str, mode: str, **options: str) -> None:
 
 def store_by_quadrant(original: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Build the compact grid of all quadrants of an original table and store it with one folder per quadrant."""
-    _write(build_pyramid(original), path, mode)
+    _write(pyramid_of_keys(keyed(original)), path, mode)
 
 
 def open_by_quadrant(spark: SparkSession, path: str) -> DataFrame:

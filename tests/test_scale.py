@@ -9,8 +9,10 @@ from gridloom.catalogue.queries import QUERIES
 from gridloom.functions import clip_to_box, square_wkt, wkt_to_ring
 from gridloom.functions.albers import rounded
 from gridloom.functions.shapes import with_square_wkt
-from gridloom.plans import verify
+from gridloom.operators.pyramid import build_pyramid, pyramid_of_keys
+from gridloom.plans import load, verify
 from gridloom.sources import geojson_scan
+from gridloom.sources import original as original_io
 
 
 def method_sizes(df):
@@ -103,3 +105,33 @@ def test_one_original_grid_for_the_comparison(spark, tmp_path):
     assert QUERIES["rebuild_vs_original"](spark, str(tmp_path)).selectExpr("sum(n) AS n").first().n > 0
     kinds = {kind for _, folder, kind in I._STORED if folder == str(tmp_path)}
     assert kinds == {"cells", "compact", "original-12"}
+
+
+def _originals(spark):
+    """Rows that come twice, without a name, and with one that is no cell's."""
+    names = ["200ME28000N73502", "200ME28002N73502", "200ME28002N73502", "1KME2801N7350", "1KME3301N7350", "junk", None]
+    rows = [(n, "ID_01" if n and "3301" in n else "ID_00", k, k // 2, k // 3) for k, n in enumerate(names, 10)]
+    return spark.createDataFrame(rows, "id_unico STRING, quadrante STRING, pop INT, fem INT, dom_ocu INT")
+
+
+def test_pyramid_of_keys_reads_no_names(spark):
+    """What is ranged, and so worked out twice, is made of stored keys; the rows are those of the pyramid of names."""
+    original = _originals(spark)
+    built = pyramid_of_keys(load.keyed(original))
+    assert sorted(map(tuple, built.collect()), key=str) == sorted(map(tuple, build_pyramid(original).collect()), key=str)
+    assert "regexp" not in built._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_original_ranged_by_other_columns(spark, tmp_path):
+    """The names are made after the ranging, which works its input out twice; all rows are written, each in its table."""
+    original = _originals(spark)
+    made = original.withColumnRenamed("id_unico", "n").withColumn("q", F.expr("int(right(quadrante, 2))"))
+
+    def finish(ranged):
+        assert "RepartitionByExpression [q#" in ranged._jdf.queryExecution().optimizedPlan().toString()
+        return ranged.withColumnRenamed("n", "id_unico").drop("q").withColumn("table", F.expr("concat('grade_id', right(quadrante, 2))"))
+
+    original_io.write_original(made, str(tmp_path / "o"), finish=finish, ranged_by=["q", "n"])
+    found = original_io.read_original(spark, str(tmp_path / "o"))
+    assert sorted(map(tuple, found.select(*original.columns).collect()), key=str) == sorted(map(tuple, original.collect()), key=str)
+    assert found.where("right(table, 2) <> right(quadrante, 2)").count() == 0
