@@ -135,3 +135,29 @@ def test_original_ranged_by_other_columns(spark, tmp_path):
     found = original_io.read_original(spark, str(tmp_path / "o"))
     assert sorted(map(tuple, found.select(*original.columns).collect()), key=str) == sorted(map(tuple, original.collect()), key=str)
     assert found.where("right(table, 2) <> right(quadrante, 2)").count() == 0
+
+
+def test_light_original_has_the_rows_of_the_whole_one(spark, tmp_path):
+    """Queries that read no geometry store none and range the cells once; rows that repeat or have no key are kept."""
+    orders = [(k, None if k % 11 == 0 else k * 31.5) for k in range(90)] + [(5, 155.0), (6, 186.0), (6, 186.0), (-7, 10.0), (None, 1.0)]
+    spark.createDataFrame(orders, "o_orderkey BIGINT, o_totalprice DOUBLE").write.parquet(str(tmp_path / "orders.parquet"))
+    assert QUERIES["level_counts"](spark, str(tmp_path)).count() > 0
+    kinds = {kind for _, folder, kind in I._STORED if folder == str(tmp_path)}
+    assert kinds == {"original-light", "compact"}
+    light = I.read_light_original(spark, str(tmp_path))
+    whole = I.read_stored_original(spark, str(tmp_path)).drop("geom")
+    assert light.schema == whole.schema and "geom" not in light.columns
+    rows = [sorted(map(str, df.collect())) for df in (light, whole)]
+    assert rows[0] == rows[1] and any("table=None" in r or "quadrante=None" in r for r in rows[0])
+    # a grid with geometry that is stored already is read again, and the light one is not stored beside it
+    (tmp_path / "b").mkdir()
+    spark.createDataFrame(orders, "o_orderkey BIGINT, o_totalprice DOUBLE").write.parquet(str(tmp_path / "b" / "orders.parquet"))
+    I.stored_original(spark, str(tmp_path / "b"))
+    assert sorted(map(str, I.read_light_original(spark, str(tmp_path / "b")).collect())) == rows[0]
+    assert {kind for _, folder, kind in I._STORED if folder == str(tmp_path / "b")} == {"cells", "original-6"}
+
+
+def test_light_rows_are_compiled(spark):
+    names = I._original_names(I._named_cells(_cells(spark).withColumn("table", F.lit("grade_id04")), "table"))
+    stages = method_sizes(names)
+    assert stages and max(stages) < 8000
