@@ -230,11 +230,12 @@ def search_original(points: DataFrame, original: DataFrame, uri: str = "geo_uri"
     """
     tile = 0.01
     general = wkt_to_ring.sql("_geom")
-    extremes = [
-        f"IF(_geom IS NULL, {pick}({', '.join(f'{a}{i}' for i in range(4))}), array_{op}(transform({general}, p_ -> p_.{a}))) AS {a}{op}"
+    extremes = {
+        f"{a}{op}": f"IF(_geom IS NULL, {pick}({', '.join(f'{a}{i}' for i in range(4))}), array_{op}(transform({general}, p_ -> p_.{a})))"
         for a in "xy" for op, pick in (("min", "least"), ("max", "greatest"))
-    ]
-    boxed = flat_corners(original, "geom").selectExpr(*[f"`{c}`" for c in original.columns], *extremes)
+    }
+    # bounds come out of a generator, so that the filters on them are not pushed below it, where each reads the text again
+    boxed = flat_corners(original, "geom").selectExpr(*[f"`{c}`" for c in original.columns], f"inline(array({struct(**extremes)}))")
     placed = with_latlon(points, uri).withColumnsRenamed({"lon": "x", "lat": "y"})
     return locate_in_boxes(placed, boxed, tile).drop("x", "y", "xmin", "xmax", "ymin", "ymax")
 

@@ -161,3 +161,15 @@ def test_light_rows_are_compiled(spark):
     names = I._original_names(I._named_cells(_cells(spark).withColumn("table", F.lit("grade_id04")), "table"))
     stages = method_sizes(names)
     assert stages and max(stages) < 8000
+
+
+def test_search_reads_each_shape_once(spark):
+    """Filters on the bounds are not pushed below them, where they would read the text of a shape again for each."""
+    shapes = [(1, "POLYGON((-50 -10,-50 -9.995,-49.995 -9.995,-49.995 -10,-50 -10))"), (2, None),
+              (3, "POLYGON((-50 -10,-49.99 -9.99,-49.98 -10,-50 -10))"), (1, "POLYGON((-50 -10,-50 -9.995,-49.995 -9.995,-49.995 -10,-50 -10))")]
+    original = spark.createDataFrame(shapes, "gid BIGINT, geom STRING")
+    points = spark.createDataFrame([(7, "geo:-9.997,-49.997"), (8, "geo:-9.992,-49.985"), (9, "geo:0,0"), (10, None)], "event_id BIGINT, geo_uri STRING")
+    found = verify.search_original(points, original)
+    assert sorted((r.event_id, r.gid) for r in found.collect()) == [(7, 1), (7, 1), (7, 3), (8, 3)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "POLYGON" in line]
