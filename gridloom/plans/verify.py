@@ -41,10 +41,19 @@ def flat_corners(df: DataFrame, geom: str = "geom") -> DataFrame:
     They are columns of generated code, where arrays would be worked on one by one. Any other shape stays in ``_geom``, which is
     NULL for plain ones, and takes the general way; a row without a shape has neither.
     """
-    words = df.selectExpr("*", f"{geom} AS _geom", f"split(trim(regexp_extract({geom}, r'{_ONE_RING}', 1)), r'[\\s,]+') AS _w")
-    corners = [f"try_cast(get(_w, {2 * i + j}) AS DOUBLE) AS {axis}{i}" for i in range(4) for j, axis in enumerate("xy")]
-    plain = "IF(size(_w) = 10 AND _w[0] = _w[8] AND _w[1] = _w[9], NULL, _geom) AS _geom"
-    return words.selectExpr(*[f"`{c}`" for c in df.columns], plain, *corners)
+    kept = [f"`{c}`" for c in df.columns]
+    axes = [(axis, i, f"try_cast(get(_w, {2 * i + j}) AS DOUBLE)") for i in range(4) for j, axis in enumerate("xy")]
+    closed = "size(_w) = 10 AND _w[0] = _w[8] AND _w[1] = _w[9]"
+    # The usual text is cut at single characters, without patterns. What that reads as ten numbers, the pattern does alike; the
+    # rest is cut by the pattern.
+    inner = f"replace(substring({geom}, 10, length({geom}) - 11), ',', ' ')"
+    cut = df.selectExpr(*kept, f"{geom} AS _geom", f"IF(startswith({geom}, 'POLYGON((') AND endswith({geom}, '))'), split({inner}, ' '), NULL) AS _w")
+    read = cut.selectExpr(*kept, "_geom", f"{closed} AS _closed", *[f"{number} AS {axis}{i}" for axis, i, number in axes])
+    usual = " AND ".join(["_closed", *[f"{axis}{i} IS NOT NULL" for axis, i, _ in axes]])
+    told = read.selectExpr(*kept, "_geom", f"nvl({usual}, false) AS _usual", *[f"{axis}{i}" for axis, i, _ in axes])
+    words = told.selectExpr("*", f"IF(_usual, NULL, split(trim(regexp_extract(_geom, r'{_ONE_RING}', 1)), r'[\\s,]+')) AS _w")
+    corners = [f"IF(_usual, {axis}{i}, {number}) AS {axis}{i}" for axis, i, number in axes]
+    return words.selectExpr(*kept, f"IF(_usual OR {closed}, NULL, _geom) AS _geom", *corners)
 
 
 def projected_corners(df: DataFrame, *kept: str) -> DataFrame:
@@ -167,14 +176,8 @@ def compare_rebuilt(rebuilt: DataFrame, original: DataFrame, geom: str = "geom",
     m = rebuilt.selectExpr("gid AS key", f"xxhash64({names}) AS m_names", *corners).selectExpr(
         "key", "m_names", f"{lon} AS lon", f"{lat} AS lat"
     )
-    one_ring = r"^\s*(?:MULTI)?POLYGON\s*\({2,3}([^()]+)\){2,3}\s*$"
-    plain = original.selectExpr(
-        f"{name_to_gid.sql('id_unico')} AS key", f"xxhash64({names}) AS g_names", f"{geom} AS _geom",
-        f"split(trim(regexp_extract({geom}, r'{one_ring}', 1)), r'[\\s,]+') AS _w",
-    ).selectExpr(
-        "key", "g_names", "IF(size(_w) = 10 AND _w[0] = _w[8] AND _w[1] = _w[9], NULL, _geom) AS _geom",
-        *[f"try_cast(get(_w, {2 * i + j}) AS DOUBLE) AS {axis}{i}" for i in range(4) for j, axis in enumerate("xy")],
-    )
+    keyed = original.selectExpr(f"{name_to_gid.sql('id_unico')} AS key", f"xxhash64({names}) AS g_names", f"{geom} AS geom")
+    plain = flat_corners(keyed)
     general = f"{parts_centroid.sql(wkt_to_parts.sql('_geom'))}"
     g = plain.selectExpr(
         "key", "g_names", f"CASE WHEN _geom IS NOT NULL THEN {general} WHEN x0 IS NOT NULL THEN {struct(x=lon, y=lat)} END AS c"

@@ -173,3 +173,23 @@ def test_search_reads_each_shape_once(spark):
     assert sorted((r.event_id, r.gid) for r in found.collect()) == [(7, 1), (7, 1), (7, 3), (8, 3)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Filter" in line and "POLYGON" in line]
+
+
+def test_usual_rings_are_cut_without_patterns(spark):
+    """The usual text is read as the pattern reads it after a space, and odd ones are left to the pattern."""
+    ring = "1 2,1 4,3 4,3 2,1 2"
+    inner = [
+        ring, "1 2, 1 4, 3 4, 3 2, 1 2", "1\n2,1 4,3 4,3 2,1\t2", "1 2,1 4,x 4,3 2,1 2", "1 2,1 4,NaN 4,1e1 2,1 2", "1 2,1 4,3 4,3 2,1 2.0", "1 2,1 4,3 4,1 2",
+        "1 2 0,1 4 0,3 4 0,1 2 0", "1,2 1,4 3,4 3,2 1,2", "1 2),(1 4,3 4,3 2,1 2", "(1 2,1 4,3 4,3 2,1 2)", "1 2,1 4,,3 4,3 2,1 2", "", " 1 2,1 4,3 4,3 2,1 2 ",
+    ]
+    texts = [f"POLYGON(({i}))" for i in inner] + [None, "", "POLYGON((", "POLYGON EMPTY", f"MULTIPOLYGON((({ring})))"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k INT, geom STRING")
+    usual, general = (verify.flat_corners(r) for r in (rows, rows.withColumn("geom", F.expr("concat(' ', geom)"))))
+    found, told = (sorted((r.k, r._geom and r._geom.strip(), str(r[3:])) for r in f.collect()) for f in (usual, general))
+    assert found == told
+    corners = "(1.0, 2.0, 1.0, 4.0, 3.0, 4.0, 3.0, 2.0)"
+    assert {k: t for k, g, t in found if k in (0, 1, 18)} == dict.fromkeys((0, 1, 18), corners)
+    plan = usual._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(replace(" in plan and "split(trim(regexp_extract" in plan
+    sizes = method_sizes(usual)
+    assert sizes and max(sizes) < 8000
