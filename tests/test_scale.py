@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.catalogue import inputs as I
 from gridloom.catalogue.queries import QUERIES
-from gridloom.functions import clip_to_box, square_wkt, wkt_to_ring
+from gridloom.functions import clip_parts, clip_to_box, parts_area, parts_contain, square_wkt, wkt_to_parts, wkt_to_ring
 from gridloom.functions.albers import rounded
 from gridloom.functions.shapes import with_square_wkt
 from gridloom.operators.pyramid import build_pyramid, pyramid_of_keys
@@ -86,6 +86,23 @@ def test_clip_keeps_and_drops_whole_rings(spark):
     assert r"split(v_, r'\s+')" not in wkt_to_ring.sql("w") and "forall(" in ring
 
 
+def test_shapes_are_worked_on_without_copies(spark):
+    """Shapes with holes and several parts: sides are met by place, not sliced, and plain text is cut at single characters."""
+    shapes = [
+        ("MULTIPOLYGON(((0 0,0 9,9 9,9 0,0 0),(2 2,2 4,4 4,4 2,2 2)),((20 0,20 5,25 5,25 0,20 0)))", 102.0, (True, False, False), 36.0),
+        ("MultiPolygon (( ( 0 0,0 9 ,9 9,\t9 0, 0  0 ),( 2 2,2 4,4 4,4 2,2 2) ) ,((20 0,20 5,25 5,25 0,20 0)) )\n", 102.0, (True, False, False), 36.0),
+        ("POLYGON((0 0,4 8,8 0,0 0))", 32.0, (True, True, False), 16.0), ("POLYGON((-9 -9,-9 -8,-8 -9,-9 -9))", 0.5, (False,) * 3, 0.0),
+        ("POLYGON Z((1 1 5,1 2 5,2 2 5,1 1 5))", 0.5, (False,) * 3, 0.5), ("POLYGON EMPTY", 0.0, (False,) * 3, 0.0), (None, None, (None,) * 3, None),
+    ]
+    rows = spark.createDataFrame([(k, s[0]) for k, s in enumerate(shapes)], "k INT, w STRING").selectExpr("k", f"{wkt_to_parts.sql('w')} AS p")
+    clip = clip_parts.sql("p", 0, -1, 4, 99)
+    found = rows.selectExpr("k", f"{parts_area.sql('p')} AS a", *[f"{parts_contain.sql('p', x, y)} AS c{x}" for x, y in ((4, 5), (3, 3), (0, 0))], f"{parts_area.sql(clip)} AS b")
+    assert [tuple(r)[1:] for r in found.orderBy("k").collect()] == [(a, *c, b - 4.0 if a == 102.0 else b) for _, a, c, b in shapes]
+    for text in (clip, parts_area.sql("p"), parts_contain.sql("p", 1, 1)):
+        assert "slice(" not in text and "concat(" not in text
+    assert "regexp_extract" not in wkt_to_parts.sql("w")
+
+
 def test_pieces_are_counted_without_patterns(spark, tmp_path):
     """Braces and brackets within and outside strings, escaped quotes and letters of several bytes."""
     text = '[é{"a}\\"[":[1,{"b":"\\\\"}]}]'
