@@ -1,5 +1,8 @@
 """The stream of GeoURIs while its grid is replaced, and events per cell over time."""
 
+import pytest
+
+from gridloom.operators.skew import keyed_join
 from gridloom.sources.compact import current_version, write_version
 from gridloom.streaming.enrich import run_available, run_refreshing
 from gridloom.streaming.windows import count_by_window, dropped_rows
@@ -29,6 +32,40 @@ def test_a_new_version_takes_effect_and_old_readers_go_on(spark, tmp_path):
     assert old.first()["pop"] == 45 and current_version(spark, folder).first()["pop"] == 5_000_000_000
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_static_side_is_not_repeated_for_a_stream(spark, tmp_path, adaptive):
+    """A hot key of a stream is split at run time, as in a batch; only a session that does not do so repeats the static side."""
+    inbox = str(tmp_path / "in")
+    rows = spark.range(0, 60000, 1, 8).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN id % 500 WHEN id % 2 = 0 THEN NULL ELSE -id END AS gid", "sha2(string(id), 512) AS pad"
+    )
+    rows.write.parquet(inbox)
+    right = spark.range(1000).selectExpr("IF(id = 999, NULL, id div 2) AS gid", "id * 2 AS v").repartition(8)
+    settings = {
+        "spark.sql.adaptive.streaming.stateless.enabled": adaptive, "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "8",
+    }
+    if adaptive == "true":
+        del settings["spark.sql.adaptive.streaming.stateless.enabled"]  # as it is by default
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for how in ("left", "inner"):
+            joined = keyed_join(spark.readStream.schema(rows.schema).parquet(inbox), right, "gid", how)
+            out, state = (str(tmp_path / f"{n}-{how}") for n in ("out", "state"))
+            run = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+            run.awaitTermination()
+            plan = run._jsq.explainInternal(False)
+            assert ("skew=true" in plan) == (adaptive == "true") and ("Generate" in plan) == (adaptive == "false")
+            want = rows.join(right, "gid", how)
+            assert sorted(map(str, spark.read.parquet(out).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _SENT = "event_id long, gid long, ts timestamp, seen timestamp"
 
 
