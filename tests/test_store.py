@@ -91,6 +91,32 @@ def test_table_functions_equal_the_python_ones_and_prune(spark):
     assert bag(call) == bag(rebuild.rebuild_quadrant(compact, 45).select(*call.columns))
 
 
+@pytest.mark.parametrize("most", [0, 30_000, 60_000_000])
+def test_wide_boxes_are_sent_to_the_points(spark, monkeypatch, most):
+    """No, some or all levels of boxes are broadcast, and points are dealt out for the others; each pair comes once."""
+    rng = random.Random(8)
+    boxes = [(x, y, x + 150 * 2.0 ** (b % 13), y + 90 * 2.0 ** (b % 11)) for b in range(400) for x, y in [(rng.uniform(-4e5, 4e5), rng.uniform(-4e5, 4e5))]]
+    # whose places in tiles differ only in bits that the key leaves out
+    boxes += [(0.0, 0.0, 150.0, 90.0), (200.0 * 2**27, 0.0, 200.0 * 2**27 + 150, 90.0), (0.0, 200.0 * 2**26, 150.0, 200.0 * 2**26 + 90), None]
+    points = [(rng.uniform(-4e5, 4e5), rng.uniform(-4e5, 4e5)) for _ in range(300)] + [b[:2] for b in boxes[:40] + boxes[-4:-1]] + [(None, 1.0), (1.0, 1.0), (1.0, 1.0)]
+    frame = spark.createDataFrame([(k, *(b or (None,) * 4)) for k, b in enumerate(boxes)], "k INT, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE")
+    monkeypatch.setattr(locate, "SENT_BYTES", most)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = locate.locate_in_any_boxes(spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i INT, x DOUBLE, y DOUBLE"), frame)
+        assert found.columns == ["i", "x", "y", "k", "xmin", "ymin", "xmax", "ymax"]
+        got = sorted((r.i, r.k) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [(i, k) for i, (x, y) in enumerate(points) for k, b in enumerate(boxes) if x is not None and b and b[0] <= x <= b[2] and b[1] <= y <= b[3]]
+    assert got == want and len({k for _, k in got}) > 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(tile#" in plan
+    # of columns of any length nothing is known, so that such boxes are not broadcast
+    assert locate._sendable(frame) == most // 64 and locate._sendable(frame.withColumn("name", frame.k.cast("string"))) == 0
+
+
 @pytest.mark.parametrize("tile", [200, 1000.5])
 def test_boxes_from_a_street_to_a_continent(spark, tile):
     rng = random.Random(6)
