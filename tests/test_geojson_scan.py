@@ -4,7 +4,10 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from gridloom.functions import cell_ring
+from gridloom.functions.shapes import with_cell_ring
 from gridloom.sources import geojson, geojson_scan
 
 
@@ -68,3 +71,25 @@ def test_scan_faults(spark, tmp_path):
     with pytest.raises(Exception):
         geojson_scan.scan_features_json(spark, str(tmp_path / "b.geojson")).collect()
     assert geojson_scan.scan_features_json(spark, str(tmp_path / "no.geojson"), missing_ok=True).count() == 0
+
+
+def test_features_are_dealt_out_once(spark, tmp_path):
+    """Features are written as whole texts and read without another exchange; a header is read of any document."""
+    for k in range(3):
+        (tmp_path / f"{k}.geojson").write_text(document(random.Random(k), 20, odd=True, crs=True))
+    read = geojson_scan.scan_features_json(spark, str(tmp_path))
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and read.count() == 60
+    features = plan.split("strategy=broadcast")[0].split("+- Aggregate")[0]
+    assert "Window" not in features and "collect_list" not in features
+    (tmp_path / "a.geojson").write_text('{"type":"FeatureCollection","others":[{"a":1}],"features":[{"type":"Feature"}]}')
+    assert geojson_scan.scan_headers(spark, str(tmp_path)).count() == 4
+    with pytest.raises(Exception, match="beside the features: others"):
+        geojson_scan.scan_features_json(spark, str(tmp_path)).collect()
+
+
+def test_rings_are_made_in_steps(spark):
+    gids = [2800000098500000, 2800000103500005, 5756000087008006, None]
+    rows = with_cell_ring(spark.createDataFrame([(g, "n") for g in gids], "gid BIGINT, name STRING"), "ring")
+    assert rows.columns == ["gid", "name", "ring"]
+    assert rows.where(~F.col("ring").eqNullSafe(cell_ring("gid", translate=True))).count() == 0
