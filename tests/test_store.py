@@ -150,3 +150,12 @@ def test_simplified_rings(spark, ring, tolerance, want):
     call = G.ring_simplify.sql(G.wkt_to_ring.sql(f"'{text}'"), f"{float(tolerance)!r}D")
     assert [tuple(p) for p in spark.sql(f"SELECT {call} AS r").first().r] == want
     assert spark.sql(f"SELECT {G.ring_simplify.sql('cast(NULL AS array<struct<x: double, y: double>>)', '1D')} AS r").first().r is None
+
+
+def test_a_ring_that_shrinks_to_a_point_stays_and_nothing_is_copied(spark):
+    """All vertices lie within the tolerance of the first one: the ring stays; vertices are met by place, arrays are not sliced."""
+    text = "POLYGON((0 0,1 0,1 1,0 1,0 0))"
+    call = G.ring_simplify.sql(G.wkt_to_ring.sql(f"'{text}'"), "9D")
+    assert [tuple(p) for p in spark.sql(f"SELECT {call} AS r").first().r] == [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+    call = G.ring_simplify.sql("r", "1D")
+    assert "slice(" not in call and "concat(" not in call
